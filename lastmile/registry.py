@@ -169,8 +169,26 @@ def query_names() -> list[str]:
     return list(_QUERIES)
 
 
+# Plans (not results) built in this process, per (application, sf_dir). A DataFrame is a
+# lazy plan: every action re-reads the files and recomputes, so reusing the plan objects
+# only saves the driver-side construction (thousands of JVM calls per plan).
+_MODELS: dict[tuple[str, str], Model] = {}
+
+
+def model_for(spark: SparkSession, sf_dir: str) -> Model:
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _MODELS:
+        _MODELS[key] = Model(spark, sf_dir)
+    return _MODELS[key]
+
+
+def clear_plans() -> None:
+    """Forget memoized plans (e.g. after the input files were replaced)."""
+    _MODELS.clear()
+
+
 def build(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _QUERIES[name](Model(spark, sf_dir))
+    return _QUERIES[name](model_for(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -10,8 +10,14 @@ from pyspark.sql import SparkSession
 # Settings applied to every session built here. AQE re-plans at runtime: it coalesces
 # small shuffle partitions, splits skewed join partitions, and turns a sort-merge join
 # into a broadcast join only after measuring the real size of the small side.
+# The planner's own broadcast choice from file-size estimates is switched off: an
+# estimate is not a bound (compressed files expand), so a side is broadcast only behind
+# an explicit row-count probe (operators.joins) or AQE's measured shuffle size.
 BASE_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

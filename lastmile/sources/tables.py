@@ -15,6 +15,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lastmile.operators.joins import lookup_join
 
@@ -43,6 +44,20 @@ ORPHAN_REFUND_MOD = 101          # lineitems with partkey % 101 = 0 refund a mis
 ORPHAN_REFUND_OFFSET = 1_000_000_000
 
 
+# Footer schemas already read in this process, by path. Reading a parquet table without a
+# schema runs a small job to read its footer; every later read of the path reuses it.
+_SCHEMAS: dict[tuple[str, str], T.StructType] = {}
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCHEMAS:
+        df = spark.read.parquet(path)
+        _SCHEMAS[key] = df.schema
+        return df
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
+
+
 def _minutes_after(ts: Column, minutes: Column) -> Column:
     return F.timestamp_add("MINUTE", minutes, ts)
 
@@ -55,7 +70,7 @@ class Tables:
         self.sf_dir = sf_dir.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return read_table(self.spark, f"{self.sf_dir}/{name}.parquet")
 
     # -- dimensions --------------------------------------------------------------------
     @cached_property
