@@ -110,21 +110,33 @@ def _latest_rider(firsts: list[tuple[str, str]]) -> Column:
     return F.array_max(F.array(*candidates)).getField("rider")
 
 
-def delivery_timeline(events: DataFrame) -> DataFrame:
-    """One row per order: the lifecycle timestamps of the first event of each type, the
-    rider of the latest of those events, waits in minutes and the delivery status.
+FIRST_COLUMNS = tuple((t, f"_first_{t.lower()}") for t, _ in LIFECYCLE)
 
-    Dedupe, pivot and rider choice are one aggregation on ``order_id`` (partial before the
-    shuffle, final after it) instead of a window, a pivot and a second window joined back.
-    Event types other than the three lifecycle types are ignored.
+
+def first_events(events: DataFrame) -> DataFrame:
+    """Per order, the first event of each lifecycle type as a struct (ts, no_rider, rider).
+
+    This is a min per struct column, so it is associative: partial results (e.g. one per
+    streaming micro-batch) merge with ``merge_first_events`` into the same answer.
     """
-    firsts = [(t, f"_first_{t.lower()}") for t, _ in LIFECYCLE]
-    agg = events.groupBy("order_id").agg(*[_first_of_type(t).alias(n) for t, n in firsts])
-    columns = {name: F.col(f"{tmp}.ts") for (_, name), (_, tmp) in zip(LIFECYCLE, firsts)}
-    timeline = agg.select(
+    return events.groupBy("order_id").agg(
+        *[_first_of_type(t).alias(name) for t, name in FIRST_COLUMNS]
+    )
+
+
+def merge_first_events(partials: DataFrame) -> DataFrame:
+    return partials.groupBy("order_id").agg(
+        *[F.min(name).alias(name) for _, name in FIRST_COLUMNS]
+    )
+
+
+def timeline_from_first_events(firsts: DataFrame) -> DataFrame:
+    """Timeline columns from the per-type first events."""
+    names = {name: f"{tmp}.ts" for (_, name), (_, tmp) in zip(LIFECYCLE, FIRST_COLUMNS)}
+    timeline = firsts.select(
         "order_id",
-        *[expr.alias(name) for name, expr in columns.items()],
-        _latest_rider(firsts).alias("rider_id"),
+        *[F.col(path).alias(name) for name, path in names.items()],
+        _latest_rider(list(FIRST_COLUMNS)).alias("rider_id"),
     )
     return timeline.withColumns(
         {
@@ -136,6 +148,17 @@ def delivery_timeline(events: DataFrame) -> DataFrame:
     )
 
 
+def delivery_timeline(events: DataFrame) -> DataFrame:
+    """One row per order: the lifecycle timestamps of the first event of each type, the
+    rider of the latest of those events, waits in minutes and the delivery status.
+
+    Dedupe, pivot and rider choice are one aggregation on ``order_id`` (partial before the
+    shuffle, final after it) instead of a window, a pivot and a second window joined back.
+    Event types other than the three lifecycle types are ignored.
+    """
+    return timeline_from_first_events(first_events(events))
+
+
 def latest_rider(events: DataFrame) -> DataFrame:
     """order_id -> rider of its latest deduplicated event with a rider."""
     return (
