@@ -44,7 +44,10 @@ def run_silver(spark: SparkSession, bronze: dict[str, str], out_dir: str) -> dic
     restaurants = spark.read.parquet(bronze["restaurants"])
     return {
         "orders": write_parquet(
-            S.silver_orders(orders, restaurants), f"{out_dir}/silver/orders.parquet"
+            S.silver_orders(orders, restaurants),
+            f"{out_dir}/silver/orders.parquet",
+            partition_by=["order_date"],
+            balance_tasks=int(spark.conf.get("spark.sql.shuffle.partitions")),
         ),
         "delivery_timeline": write_parquet(
             S.delivery_timeline(events), f"{out_dir}/silver/delivery_timeline.parquet"

@@ -100,3 +100,17 @@ def test_broadcast_probe(spark):
     assert "BroadcastHashJoin" in plan
     plan = lookup_join(small, big, "k", max_rows=100)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan
+
+
+def test_balanced_partitioned_write_splits_hot_value(spark, tmp_dir):
+    # one order_date holds most rows: range partitioning spreads it over several tasks
+    df = spark.range(20000).select(
+        F.when(F.col("id") < 15000, F.lit("2024-01-01")).otherwise(
+            F.concat(F.lit("2024-02-"), F.lpad((F.col("id") % 20 + 1).cast("string"), 2, "0"))
+        ).alias("order_date"),
+        F.col("id"),
+    )
+    path = write_parquet(df, f"{tmp_dir}/bal", partition_by=["order_date"], balance_tasks=8)
+    hot = [f for f in os.listdir(f"{path}/order_date=2024-01-01") if f.endswith(".parquet")]
+    assert len(hot) >= 4
+    assert spark.read.parquet(path).count() == 20000
