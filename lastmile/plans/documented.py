@@ -18,6 +18,7 @@ from lastmile.functions import columns as C
 from lastmile.operators import quality as Q
 from lastmile.operators.dedup import keep_first, keep_latest
 from lastmile.operators.joins import lookup_join, semi_join
+from lastmile.session import ensure_checkpoint_dir
 
 COMPLETED_STATUSES = ("COMPLETED", "DELIVERED")
 CANCELLED_STATUS = "CANCELLED"
@@ -192,7 +193,7 @@ def doc_rider_score(facts: DataFrame, riders: DataFrame) -> DataFrame:
     for riders with at least 10 deliveries. City = the rider's home city (rider table).
 
     The city mean is an aggregation joined back, not a window over all riders of a city,
-    so no task ever holds a whole city.
+    so no task ever holds a whole city. Runs a job when called (the checkpoint below).
     """
     delivered = facts.filter(F.col("rider_id").isNotNull() & F.col("delivered_ts").isNotNull())
     per_rider = delivered.groupBy("rider_id").agg(
@@ -208,6 +209,11 @@ def doc_rider_score(facts: DataFrame, riders: DataFrame) -> DataFrame:
     )
     home = riders.groupBy("rider_id").agg(F.min("city").alias("city"))
     ranked = lookup_join(ranked, home, "rider_id", "left", bound=riders.select("rider_id"))
+    # The per-rider rows feed both the city means and the join back; two branches would
+    # compute the whole fact pipeline twice. One row per rider is cheap to write, so the
+    # lineage is cut here with a reliable checkpoint in the shared checkpoint folder.
+    ensure_checkpoint_dir(ranked.sparkSession)
+    ranked = ranked.checkpoint(eager=True)
     city_avg = ranked.groupBy(F.col("city").alias("avg_city")).agg(
         C.stable_mean("orders_per_day").alias("city_avg_orders_per_day")
     )
