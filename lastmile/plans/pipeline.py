@@ -5,13 +5,16 @@ tables, so a layer's lineage starts at its own inputs.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from lastmile.plans import marts as M
-from lastmile.plans import profiling as P
 from lastmile.plans import silver as S
+from lastmile.plans.bronze import SOURCE_FILES, bronze
 from lastmile.sinks.writers import write_csv, write_parquet
-from lastmile.sources.files import add_load_metadata
+from lastmile.sources.files import batch_timestamp
 from lastmile.sources.tables import Tables
 
 # Mart -> export name.
@@ -24,39 +27,57 @@ MART_EXPORTS = {
 }
 
 
-def run_bronze(t: Tables, out_dir: str) -> dict[str, str]:
-    frames = {
-        "orders": P.bronze_orders(t.orders),
-        "delivery_events": add_load_metadata(t.events, "delivery_events.json"),
-        "refunds": add_load_metadata(t.refunds, "refunds.csv"),
-        "restaurants": add_load_metadata(t.restaurants, "restaurants.csv"),
-        "riders": add_load_metadata(t.riders, "riders.csv"),
-        "order_items": add_load_metadata(t.order_items, "order_items.csv"),
-        "support_tickets": add_load_metadata(t.tickets, "support_tickets.csv"),
-    }
-    return {n: write_parquet(df, f"{out_dir}/bronze/{n}.parquet") for n, df in frames.items()}
+def _in_parallel(jobs: dict[str, Callable[[], str]], workers: int = 4) -> dict[str, str]:
+    """Run independent write jobs concurrently (Spark schedules jobs from several threads)."""
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        futures = {name: pool.submit(job) for name, job in jobs.items()}
+        return {name: f.result() for name, f in futures.items()}
 
 
-def run_silver(spark: SparkSession, bronze: dict[str, str], out_dir: str) -> dict[str, str]:
+def run_bronze(t: Tables, out_dir: str) -> dict[str, str]:
+    batch_ts = batch_timestamp()
+    return _in_parallel(
+        {
+            name: (lambda n=name: write_parquet(bronze(t, n, batch_ts), f"{out_dir}/bronze/{n}.parquet"))
+            for name in SOURCE_FILES
+        }
+    )
+
+
+def run_silver(
+    spark: SparkSession,
+    bronze: dict[str, str],
+    out_dir: str,
+    orders_partition_by: Sequence[str] = (),
+) -> dict[str, str]:
+    """Silver orders and timeline from bronze; facts from the written silver tables.
+
+    ``orders_partition_by=("order_date",)`` gives the documented date-partitioned layout
+    (worth it once a day is many MB; at small volumes it writes thousands of tiny files).
+    """
     orders = spark.read.parquet(bronze["orders"])
     events = spark.read.parquet(bronze["delivery_events"])
-    refunds = spark.read.parquet(bronze["refunds"])
     restaurants = spark.read.parquet(bronze["restaurants"])
-    return {
-        "orders": write_parquet(
-            S.silver_orders(orders, restaurants),
-            f"{out_dir}/silver/orders.parquet",
-            partition_by=["order_date"],
-            balance_tasks=int(spark.conf.get("spark.sql.shuffle.partitions")),
-        ),
-        "delivery_timeline": write_parquet(
-            S.delivery_timeline(events), f"{out_dir}/silver/delivery_timeline.parquet"
-        ),
-        "order_facts": write_parquet(
-            S.order_facts(orders, events, refunds, restaurants),
-            f"{out_dir}/silver/order_facts.parquet",
-        ),
-    }
+    paths = _in_parallel(
+        {
+            "orders": lambda: write_parquet(
+                S.silver_orders(orders, restaurants),
+                f"{out_dir}/silver/orders.parquet",
+                partition_by=list(orders_partition_by) or None,
+                balance_tasks=int(spark.conf.get("spark.sql.shuffle.partitions")),
+            ),
+            "delivery_timeline": lambda: write_parquet(
+                S.delivery_timeline(events), f"{out_dir}/silver/delivery_timeline.parquet"
+            ),
+        }
+    )
+    facts = S.facts_from_silver(
+        spark.read.parquet(paths["orders"]),
+        spark.read.parquet(paths["delivery_timeline"]),
+        spark.read.parquet(bronze["refunds"]),
+    )
+    paths["order_facts"] = write_parquet(facts, f"{out_dir}/silver/order_facts.parquet")
+    return paths
 
 
 def build_marts(facts: DataFrame) -> dict[str, DataFrame]:
@@ -71,23 +92,31 @@ def build_marts(facts: DataFrame) -> dict[str, DataFrame]:
 
 def run_marts(spark: SparkSession, silver: dict[str, str], out_dir: str) -> dict[str, str]:
     facts = spark.read.parquet(silver["order_facts"])
-    written = {}
-    for name, mart in build_marts(facts).items():
-        written[name] = write_parquet(mart, f"{out_dir}/marts/{name}.parquet")
-    return written
+    return _in_parallel(
+        {
+            name: (lambda n=name, df=mart: write_parquet(df, f"{out_dir}/marts/{n}.parquet"))
+            for name, mart in build_marts(facts).items()
+        }
+    )
 
 
 def export_marts(spark: SparkSession, marts: dict[str, str], out_dir: str) -> dict[str, str]:
-    return {
-        name: write_csv(spark.read.parquet(path), f"{out_dir}/warehouse/{MART_EXPORTS[name]}")
-        for name, path in marts.items()
-    }
-
-
-def run_pipeline(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, dict[str, str]]:
+    return _in_parallel(
+        {
+            name: (
+                lambda n=name, p=path: write_csv(spark.read.parquet(p), f"{out_dir}/warehouse/{MART_EXPORTS[n]}")
+            )
+            for name, path in marts.items()
+        }
+    )
+
+
+def run_pipeline(
+    spark: SparkSession, sf_dir: str, out_dir: str, orders_partition_by: Sequence[str] = ()
+) -> dict[str, dict[str, str]]:
     t = Tables(spark, sf_dir)
     bronze = run_bronze(t, out_dir)
-    silver = run_silver(spark, bronze, out_dir)
+    silver = run_silver(spark, bronze, out_dir, orders_partition_by)
     marts = run_marts(spark, silver, out_dir)
     exported = export_marts(spark, marts, out_dir)
     return {"bronze": bronze, "silver": silver, "marts": marts, "warehouse": exported}

@@ -182,9 +182,16 @@ def order_facts(
     orders: DataFrame, events: DataFrame, refunds: DataFrame, restaurants: DataFrame
 ) -> DataFrame:
     """One row per order: cleaned order, timeline, delivery measures, refunds, flags."""
-    facts = clean_order_columns(dedup_orders(orders)).join(
-        delivery_timeline(events), "order_id", "left"
+    facts = facts_from_silver(
+        clean_order_columns(dedup_orders(orders)), delivery_timeline(events), refunds
     )
+    return attach_restaurant_city(facts, restaurants)
+
+
+def facts_from_silver(orders: DataFrame, timeline: DataFrame, refunds: DataFrame) -> DataFrame:
+    """Facts from cleaned orders (one row per order) and the timeline: measures, refund
+    totals and flags. The city is whatever ``orders`` carries."""
+    facts = orders.join(timeline, "order_id", "left")
     facts = facts.withColumns(
         {
             "actual_delivery_minutes": C.minutes_between("order_ts", "delivered_ts"),
@@ -195,10 +202,9 @@ def order_facts(
     facts = facts.join(refund_agg(refunds), "order_id", "left").fillna(
         {"refund_amount": 0.0, "has_refund_flag": 0}
     )
-    facts = facts.withColumns(
+    return facts.withColumns(
         {
             "delivery_success_flag": C.present_flag("delivered_ts"),
             "rider_assigned_flag": C.present_flag("rider_id"),
         }
     )
-    return attach_restaurant_city(facts, restaurants)

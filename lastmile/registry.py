@@ -7,17 +7,25 @@ intermediates within one query build.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lastmile.plans import bronze as B
 from lastmile.plans import documented as D
 from lastmile.plans import marts as M
 from lastmile.plans import profiling as P
 from lastmile.plans import silver as S
 from lastmile.sources.tables import Tables
+from lastmile.streaming.timeline import stream_timeline_from_tables
+
+
+# Batch time stamped on bronze loads by the registered queries (fixed, so results are
+# reproducible; a real load stamps the current time).
+LOAD_BATCH_TS = datetime.datetime(2002, 1, 1, 0, 0, 0)
 
 
 class Model:
@@ -101,6 +109,12 @@ _QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     "stg_orders": lambda m: m.stg_orders(),
     "preview_limit": lambda m: P.preview(m.bronze_orders, ["order_id", "ingestion_ts"], 5),
     "bronze_orders": lambda m: m.bronze_orders,
+    "bronze_delivery_events": lambda m: B.bronze(m.t, "delivery_events", LOAD_BATCH_TS),
+    "bronze_refunds": lambda m: B.bronze(m.t, "refunds", LOAD_BATCH_TS),
+    "bronze_restaurants": lambda m: B.bronze(m.t, "restaurants", LOAD_BATCH_TS),
+    "bronze_riders": lambda m: B.bronze(m.t, "riders", LOAD_BATCH_TS),
+    "bronze_order_items": lambda m: B.bronze(m.t, "order_items", LOAD_BATCH_TS),
+    "bronze_support_tickets": lambda m: B.bronze(m.t, "support_tickets", LOAD_BATCH_TS),
     "dedup_orders": lambda m: S.dedup_orders(m.t.orders),
     "dedup_events": lambda m: S.dedup_events(m.t.events),
     "latest_rider": lambda m: S.latest_rider(m.t.events),
@@ -110,6 +124,7 @@ _QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     "order_value_bucket": lambda m: _distribution(m.silver_orders, "order_value_bucket"),
     "delivery_timeline": lambda m: m.timeline,
     "order_facts": lambda m: m.facts,
+    "stream_delivery_timeline": lambda m: stream_timeline_from_tables(m.spark, m.t.sf_dir),
     # intermediate + marts
     "int_sla_metrics": lambda m: M.int_sla_metrics(m.facts),
     "delay_bucket": lambda m: _distribution(M.int_sla_metrics(m.facts), "delay_bucket"),

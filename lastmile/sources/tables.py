@@ -133,7 +133,11 @@ class Tables:
     @cached_property
     def events(self) -> DataFrame:
         """Lifecycle events: one per lineitem; line 1-2 ASSIGNED, 3-4 PICKED_UP, 5+ DELIVERED."""
-        li = self.raw("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+        return self.events_from(self.raw("lineitem"))
+
+    def events_from(self, lineitem: DataFrame) -> DataFrame:
+        """Events of any lineitem frame, batch or streaming (a stream-static join)."""
+        li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
         o = self.raw("orders").select(
             F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"
         )

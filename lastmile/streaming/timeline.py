@@ -10,10 +10,13 @@ Partials can be compacted at any time by rewriting their merge.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from lastmile.plans import silver as S
+from lastmile.session import ensure_checkpoint_dir
 from lastmile.sources.schemas import DELIVERY_EVENTS
 
 
@@ -49,3 +52,34 @@ def compact_partials(spark: SparkSession, partials_dir: str, out_dir: str) -> st
     partials = spark.read.parquet(partials_dir).drop("batch")
     S.merge_first_events(partials).write.mode("overwrite").parquet(out_dir)
     return out_dir
+
+
+def stream_timeline_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The delivery timeline computed by a streaming run over the lineitem table.
+
+    lineitem is read as a file stream and joined to the static orders table (stream-static
+    join) to form events; every micro-batch writes its partial first-events under the
+    shared checkpoint folder; the result is the merge of all partials. The answer equals
+    the batch ``delivery_timeline`` whatever the batch boundaries.
+    """
+    from lastmile.sources.tables import Tables
+
+    t = Tables(spark, sf_dir)
+    # A file stream watches a directory: the glob makes the tables folder the base path
+    # and matches the table whether it is one file or a directory of files.
+    path = f"{t.sf_dir}/lineitem.parquet*"
+    lineitem = spark.readStream.schema(t.raw("lineitem").schema).option("maxFilesPerTrigger", 1).parquet(path)
+    work = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-timeline-{uuid.uuid4().hex}"
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        S.first_events(batch).write.mode("overwrite").parquet(f"{work}/partials/batch={batch_id}")
+
+    query = (
+        t.events_from(lineitem)
+        .writeStream.foreachBatch(write_batch)
+        .option("checkpointLocation", f"{work}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return timeline_from_partials(spark, f"{work}/partials")

@@ -73,12 +73,14 @@ def test_partitioned_write(spark, tmp_dir):
 
 
 def test_pipeline_end_to_end(spark, tmp_dir):
-    out = run_pipeline(spark, SF_SMALL, tmp_dir)
+    out = run_pipeline(spark, SF_SMALL, tmp_dir, orders_partition_by=("order_date",))
     assert set(out["warehouse"]) == set(MART_EXPORTS)
     sla_csv = spark.read.option("header", True).option("inferSchema", True).csv(out["warehouse"]["01_SLA_breach_analysis"])
     expected = M.sla_breach(model_for(spark, SF_SMALL).facts)
     assert sla_csv.count() == expected.count()
     assert sla_csv.agg(F.sum("total_orders")).first()[0] == expected.agg(F.sum("total_orders")).first()[0]
+    orders_dir = out["silver"]["orders"]
+    assert any(d.startswith("order_date=") for d in os.listdir(orders_dir))
     facts = spark.read.parquet(out["silver"]["order_facts"])
     assert facts.count() == model_for(spark, SF_SMALL).facts.count()
 
