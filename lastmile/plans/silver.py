@@ -114,28 +114,47 @@ FIRST_COLUMNS = tuple((t, f"_first_{t.lower()}") for t, _ in LIFECYCLE)
 
 
 def first_events(events: DataFrame) -> DataFrame:
-    """Per order, the first event of each lifecycle type as a struct (ts, no_rider, rider).
-
-    This is a min per struct column, so it is associative: partial results (e.g. one per
-    streaming micro-batch) merge with ``merge_first_events`` into the same answer.
+    """Per order and lifecycle type: the first event as a struct (ts, no_rider, rider),
+    and its time as ``min(ts)`` plus a has-NULL-time flag.
+
+    The time of the first event is NULL if any event of the type has no time (NULL sorts
+    first), else the minimum — two fixed-width aggregates. Queries that never use the
+    rider therefore lose the struct aggregate to column pruning and run as a hash
+    aggregation; the struct (a sort-based aggregate) is only computed when the rider is
+    needed. Every column is a min or max, so partial results (e.g. one per streaming
+    micro-batch) merge with ``merge_first_events`` into the same answer.
     """
-    return events.groupBy("order_id").agg(
-        *[_first_of_type(t).alias(name) for t, name in FIRST_COLUMNS]
-    )
+    aggs = []
+    for t, name in FIRST_COLUMNS:
+        of_type = F.col("event_type") == t
+        aggs += [
+            _first_of_type(t).alias(name),
+            F.min(F.when(of_type, F.col("event_ts"))).alias(f"{name}_min_ts"),
+            F.max(F.when(of_type, F.col("event_ts").isNull())).alias(f"{name}_null_ts"),
+        ]
+    return events.groupBy("order_id").agg(*aggs)
 
 
 def merge_first_events(partials: DataFrame) -> DataFrame:
-    return partials.groupBy("order_id").agg(
-        *[F.min(name).alias(name) for _, name in FIRST_COLUMNS]
-    )
+    aggs = []
+    for _, name in FIRST_COLUMNS:
+        aggs += [
+            F.min(name).alias(name),
+            F.min(f"{name}_min_ts").alias(f"{name}_min_ts"),
+            F.max(f"{name}_null_ts").alias(f"{name}_null_ts"),
+        ]
+    return partials.groupBy("order_id").agg(*aggs)
+
+
+def _first_time(name: str) -> Column:
+    return F.when(F.col(f"{name}_null_ts"), F.lit(None)).otherwise(F.col(f"{name}_min_ts"))
 
 
 def timeline_from_first_events(firsts: DataFrame) -> DataFrame:
     """Timeline columns from the per-type first events."""
-    names = {name: f"{tmp}.ts" for (_, name), (_, tmp) in zip(LIFECYCLE, FIRST_COLUMNS)}
     timeline = firsts.select(
         "order_id",
-        *[F.col(path).alias(name) for name, path in names.items()],
+        *[_first_time(tmp).alias(name) for (_, name), (_, tmp) in zip(LIFECYCLE, FIRST_COLUMNS)],
         _latest_rider(list(FIRST_COLUMNS)).alias("rider_id"),
     )
     return timeline.withColumns(
