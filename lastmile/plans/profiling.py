@@ -7,16 +7,10 @@ from pyspark.sql import functions as F
 
 from lastmile.operators import quality as Q
 from lastmile.operators.joins import anti_join, lookup_join
-from lastmile.sources.files import add_load_metadata
 
 TOP_GROUP_SIZES = 5
 
 
-def bronze_orders(orders: DataFrame) -> DataFrame:
-    """Order loads with the bronze load metadata."""
-    return add_load_metadata(orders, source_file="orders.csv")
-
-
 def preview(df: DataFrame, order_by: list[str], n: int = 5) -> DataFrame:
     """First ``n`` rows under a total order (``LIMIT`` made repeatable)."""
     return df.orderBy(*[F.col(c).asc_nulls_first() for c in order_by]).limit(n)
@@ -92,29 +86,41 @@ def invalid_riders(events: DataFrame, riders: DataFrame) -> DataFrame:
     return anti_join(with_rider, riders, "rider_id").agg(F.count(F.lit(1)).alias("invalid_riders"))
 
 
+def orders_profile(orders: DataFrame) -> DataFrame:
+    """Row count, NULL percentages and duplicated keys of the orders in one pass: counts
+    per order_id (partial aggregation before the shuffle), then totals."""
+    per_key = orders.groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("payment_mode").isNull()).alias("no_payment"),
+        F.count_if(F.col("city").isNull()).alias("no_city"),
+    )
+    rows = F.sum("n")
+    return per_key.agg(
+        rows.alias("orders_rows"),
+        F.round(F.try_divide(F.sum("no_payment").cast("double") * 100, rows), 2).alias("payment_null_pct"),
+        F.round(F.try_divide(F.sum("no_city").cast("double") * 100, rows), 2).alias("city_null_pct"),
+        F.count_if(F.col("n") > 1).alias("duplicate_order_ids"),
+    )
+
+
 def bronze_profile(
     orders: DataFrame, events: DataFrame, refunds: DataFrame, restaurants: DataFrame
 ) -> DataFrame:
     """All bronze checks as one long (metric, value) table."""
 
-    def metric(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
-        return df.select(
-            F.lit(name or column).alias("metric"), F.col(column).cast("double").alias("value")
+    def metrics(df: DataFrame) -> DataFrame:
+        cols = df.columns
+        return df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+            [], cols, "metric", "value"
         )
 
-    counts = row_counts(orders, events, refunds).select(
-        F.concat(F.col("table_name"), F.lit("_rows")).alias("metric"),
-        F.col("row_count").cast("double").alias("value"),
-    )
-    pct = null_pct(orders)
     parts = [
-        counts,
-        metric(pct, "payment_null_pct"),
-        metric(pct, "city_null_pct"),
-        metric(duplicate_orders(orders), "duplicate_order_ids"),
-        metric(late_deliveries(orders, events), "late_deliveries"),
-        metric(orphan_refunds(refunds, orders), "orphan_refunds"),
-        metric(city_mismatch(orders, restaurants), "city_mismatch"),
+        metrics(orders_profile(orders)),
+        metrics(Q.row_count(events, "x").select(F.col("row_count").alias("delivery_events_rows"))),
+        metrics(Q.row_count(refunds, "x").select(F.col("row_count").alias("refunds_rows"))),
+        metrics(late_deliveries(orders, events)),
+        metrics(orphan_refunds(refunds, orders)),
+        metrics(city_mismatch(orders, restaurants)),
     ]
     out = parts[0]
     for p in parts[1:]:

@@ -35,7 +35,7 @@ class Model:
 
     @cached_property
     def bronze_orders(self) -> DataFrame:
-        return P.bronze_orders(self.t.orders)
+        return B.bronze(self.t, "orders")
 
     @cached_property
     def silver_orders(self) -> DataFrame:

@@ -98,12 +98,20 @@ class Tables:
     # -- facts -------------------------------------------------------------------------
     @cached_property
     def orders(self) -> DataFrame:
-        """Order loads: every order once, every 100th order a second time, a day later."""
+        """Order loads: every order once, every 100th order a second time, a day later
+        (with a changed value and the raw priority as payment mode).
+
+        One scan: each order row expands to its one or two loads.
+        """
         o = self.raw("orders")
         key = F.col("o_orderkey")
         minute = F.lit(ORDER_MINUTE_BASE) + key % ORDER_MINUTE_SPAN
         promise = F.lit(PROMISE_BASE) + key % ORDER_MINUTE_SPAN + (key * 7) % PROMISE_SPREAD
-        common = [
+        loads = F.when(key % RELOAD_MOD == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+        expanded = o.withColumn("_load", F.explode(loads))
+        first = F.col("_load") == 1
+        value = F.col("o_totalprice") / ORDER_VALUE_DIVISOR
+        return expanded.select(
             key.alias("order_id"),
             F.col("o_custkey").alias("customer_id"),
             F.col("o_custkey").alias("restaurant_id"),
@@ -113,22 +121,19 @@ class Tables:
             F.when(F.col("o_orderstatus") == "P", F.lit("CANCELLED"))
             .otherwise(F.lit("COMPLETED"))
             .alias("status"),
-        ]
-        value = F.col("o_totalprice") / ORDER_VALUE_DIVISOR
-        first = o.select(
-            *common,
-            F.when(key % NULL_VALUE_MOD != 0, value).alias("order_value"),
-            F.when(F.col("o_orderpriority") != NULL_PAYMENT_PRIORITY, F.col("o_orderpriority"))
+            F.when(first, F.when(key % NULL_VALUE_MOD != 0, value))
+            .otherwise(value + 1.0)
+            .alias("order_value"),
+            F.when(
+                first,
+                F.when(F.col("o_orderpriority") != NULL_PAYMENT_PRIORITY, F.col("o_orderpriority")),
+            )
+            .otherwise(F.col("o_orderpriority"))
             .alias("payment_mode"),
-            F.to_timestamp_ntz(F.lit(FIRST_LOAD_TS)).alias("ingestion_ts"),
-        )
-        reload = o.filter(key % RELOAD_MOD == 0).select(
-            *common,
-            (value + 1.0).alias("order_value"),
-            F.col("o_orderpriority").alias("payment_mode"),
-            F.to_timestamp_ntz(F.lit(SECOND_LOAD_TS)).alias("ingestion_ts"),
+            F.when(first, F.to_timestamp_ntz(F.lit(FIRST_LOAD_TS)))
+            .otherwise(F.to_timestamp_ntz(F.lit(SECOND_LOAD_TS)))
+            .alias("ingestion_ts"),
         )
-        return first.unionByName(reload)
 
     @cached_property
     def events(self) -> DataFrame:
