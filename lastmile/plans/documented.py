@@ -79,6 +79,21 @@ def doc_dq_flags(clean_orders: DataFrame, timeline: DataFrame, restaurants: Data
     )
 
 
+def doc_stg_orders(clean_orders: DataFrame, flags: DataFrame) -> DataFrame:
+    """Staging: the documented clean orders without the rows any DQ flag marks.
+
+    Both inputs are keyed by order_id and come from the same dedupe, so the join is
+    co-partitioned (no extra exchange on the orders side)."""
+    bad = (
+        F.col("_dq_has_null_customer")
+        | F.col("_dq_invalid_order_value")
+        | F.col("_dq_orphan_order")
+        | F.col("_dq_invalid_sequence")
+    )
+    flagged = flags.filter(bad).select("order_id")
+    return clean_orders.join(flagged, "order_id", "left_anti")
+
+
 def doc_dq_monitor(flags: DataFrame) -> DataFrame:
     return flags.agg(
         F.count(F.lit(1)).alias("total_records"),
