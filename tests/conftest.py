@@ -14,7 +14,12 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from lastmile.session import get_session
 
-    session = get_session(app="lastmile-tests", master="local[*]", shuffle_partitions=8)
+    session = get_session(
+        app="lastmile-tests",
+        master="local[*]",
+        shuffle_partitions=8,
+        extra_conf={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="lastmile-wh-")},
+    )
     yield session
     session.stop()
 

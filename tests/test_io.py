@@ -116,3 +116,15 @@ def test_balanced_partitioned_write_splits_hot_value(spark, tmp_dir):
     hot = [f for f in os.listdir(f"{path}/order_date=2024-01-01") if f.endswith(".parquet")]
     assert len(hot) >= 4
     assert spark.read.parquet(path).count() == 20000
+
+
+def test_bucketed_tables_join_without_exchange(spark):
+    from lastmile.sinks.writers import save_table
+
+    m = model_for(spark, SF_SMALL)
+    save_table(m.silver_orders, "t_silver_orders", bucket_by=(8, ["order_id"]))
+    save_table(m.timeline, "t_timeline", bucket_by=(8, ["order_id"]))
+    joined = spark.table("t_silver_orders").join(spark.table("t_timeline"), "order_id")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert joined.count() == m.silver_orders.join(m.timeline, "order_id").count()
