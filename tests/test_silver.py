@@ -161,3 +161,36 @@ def test_timeline_partials_merge_equals_whole(spark):
     )
     merged = S.timeline_from_first_events(S.merge_first_events(parts))
     assert merged.exceptAll(whole).count() == 0 and whole.exceptAll(merged).count() == 0
+
+
+# -- property: latest-row dedupe with full tie-break equals a brute-force pick ---------
+def _desc_key(v):
+    # descending with NULL last == ascending max with NULL smallest
+    return (v is not None, v if v is not None else 0)
+
+
+order_rows = st.lists(
+    st.tuples(
+        st.integers(1, 3),
+        st.one_of(st.none(), st.integers(0, 2)),
+        st.one_of(st.none(), st.integers(0, 2)),
+        st.one_of(st.none(), st.integers(0, 2)),
+    ),
+    min_size=1,
+    max_size=20,
+)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=order_rows)
+def test_keep_latest_matches_brute_force(spark, rows):
+    from lastmile.operators.dedup import keep_latest
+
+    df = spark.createDataFrame(rows, "k long, ts long, a long, b long").repartition(2)
+    got = sorted(tuple(r) for r in keep_latest(df, ["k"], "ts").collect())
+    best = {}
+    for r in rows:
+        key = (_desc_key(r[1]), _desc_key(r[2]), _desc_key(r[3]))
+        if r[0] not in best or key > best[r[0]][0]:
+            best[r[0]] = (key, r)
+    assert got == sorted(v[1] for v in best.values())
