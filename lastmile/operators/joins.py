@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lastmile.session import session_key
+
 # A dimension this small (a few columns per row) broadcasts in a few MB.
 BROADCAST_MAX_ROWS = 200_000
 
@@ -27,7 +29,7 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     Decisions are remembered per (session, plan) so a dimension used by several
     queries of one session is probed once.
     """
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    key = (session_key(df.sparkSession), df.semanticHash(), max_rows)
     if key not in _decisions:
         probe = df.select(F.lit(1).alias("_one")).take(max_rows + 1)
         _decisions[key] = len(probe) <= max_rows

@@ -19,6 +19,7 @@ from lastmile.plans import documented as D
 from lastmile.plans import marts as M
 from lastmile.plans import profiling as P
 from lastmile.plans import silver as S
+from lastmile.session import session_key
 from lastmile.sources.tables import Tables
 from lastmile.streaming.timeline import stream_timeline_from_tables
 
@@ -199,7 +200,7 @@ _MODELS: dict[tuple[str, str], Model] = {}
 
 
 def model_for(spark: SparkSession, sf_dir: str) -> Model:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (session_key(spark), sf_dir.rstrip("/"))
     if key not in _MODELS:
         _MODELS[key] = Model(spark, sf_dir)
     return _MODELS[key]

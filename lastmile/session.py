@@ -61,12 +61,23 @@ def get_session(
     return spark
 
 
+def session_key(spark: SparkSession) -> str:
+    """Identity of the running application, for per-session memos."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # sessions without a local SparkContext (Spark Connect)
+        return f"session-{id(spark)}"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint directory, creating a private one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names shared storage and is used as is.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's configuration applies
+        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lastmile-ckpt-")
     current = sc.getCheckpointDir()
     if current:
         return current

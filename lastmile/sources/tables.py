@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lastmile.operators.joins import lookup_join
+from lastmile.session import session_key
 
 TABLE_NAMES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -50,7 +51,7 @@ _SCHEMAS: dict[tuple[str, str], T.StructType] = {}
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    key = (spark.sparkContext.applicationId, path)
+    key = (session_key(spark), path)
     if key not in _SCHEMAS:
         df = spark.read.parquet(path)
         _SCHEMAS[key] = df.schema
