@@ -91,6 +91,19 @@ def unique(df: DataFrame, keys: Sequence[str], test_name: str) -> DataFrame:
     )
 
 
+def key_tests(df: DataFrame, key: str, unique_name: str, not_null_name: str) -> DataFrame:
+    """The unique and the not_null test of one key from a single aggregation: two rows
+    (test_name, failures, status)."""
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    counts = per_key.agg(
+        F.count_if(F.col(key).isNotNull() & (F.col("n") > 1)).cast("bigint").alias(unique_name),
+        F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("n"))), F.lit(0)).cast("bigint").alias(not_null_name),
+    )
+    return counts.unpivot([], [unique_name, not_null_name], "test_name", "failures").withColumn(
+        "status", F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("fail"))
+    )
+
+
 def sums_to(df: DataFrame, column: str, target: float, tolerance: float, test_name: str) -> DataFrame:
     """(test_name, total, passed): does ``sum(column)`` lie within ``target ± tolerance``."""
     return df.agg(F.sum(column).alias("total")).select(

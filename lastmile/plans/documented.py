@@ -55,15 +55,19 @@ def doc_clean_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def doc_dq_flags(clean_orders: DataFrame, timeline: DataFrame, restaurants: DataFrame) -> DataFrame:
-    """The four documented row flags per order."""
+DQ_FLAGS = (
+    "_dq_has_null_customer",
+    "_dq_invalid_order_value",
+    "_dq_orphan_order",
+    "_dq_invalid_sequence",
+)
+
+
+def with_dq_flags(clean_orders: DataFrame, timeline: DataFrame, restaurants: DataFrame) -> DataFrame:
+    """The clean orders with the four documented row flags."""
     known = restaurants.select("restaurant_id").distinct().withColumn("_known", F.lit(True))
     with_dim = lookup_join(
-        clean_orders.select("order_id", "customer_id", "restaurant_id", "order_value"),
-        known,
-        "restaurant_id",
-        "left",
-        bound=restaurants.select("restaurant_id"),
+        clean_orders, known, "restaurant_id", "left", bound=restaurants.select("restaurant_id")
     )
     seq = timeline.select("order_id", "accepted_ts", "picked_ts", "delivered_ts")
     joined = with_dim.join(seq, "order_id", "left")
@@ -71,7 +75,7 @@ def doc_dq_flags(clean_orders: DataFrame, timeline: DataFrame, restaurants: Data
         F.col("delivered_ts") < F.col("picked_ts")
     )
     return joined.select(
-        "order_id",
+        *clean_orders.columns,
         F.col("customer_id").isNull().alias("_dq_has_null_customer"),
         F.coalesce(F.col("order_value") <= 0, F.lit(True)).alias("_dq_invalid_order_value"),
         F.col("_known").isNull().alias("_dq_orphan_order"),
@@ -79,19 +83,19 @@ def doc_dq_flags(clean_orders: DataFrame, timeline: DataFrame, restaurants: Data
     )
 
 
-def doc_stg_orders(clean_orders: DataFrame, flags: DataFrame) -> DataFrame:
-    """Staging: the documented clean orders without the rows any DQ flag marks.
+def doc_dq_flags(clean_orders: DataFrame, timeline: DataFrame, restaurants: DataFrame) -> DataFrame:
+    """The four documented row flags per order."""
+    return with_dq_flags(clean_orders, timeline, restaurants).select("order_id", *DQ_FLAGS)
+
 
-    Both inputs are keyed by order_id and come from the same dedupe, so the join is
-    co-partitioned (no extra exchange on the orders side)."""
-    bad = (
-        F.col("_dq_has_null_customer")
-        | F.col("_dq_invalid_order_value")
-        | F.col("_dq_orphan_order")
-        | F.col("_dq_invalid_sequence")
-    )
-    flagged = flags.filter(bad).select("order_id")
-    return clean_orders.join(flagged, "order_id", "left_anti")
+def doc_stg_orders(clean_orders: DataFrame, timeline: DataFrame, restaurants: DataFrame) -> DataFrame:
+    """Staging: the documented clean orders without the rows any DQ flag marks (the flags
+    are computed on the rows themselves, one pass)."""
+    flagged = with_dq_flags(clean_orders, timeline, restaurants)
+    any_flag = F.col(DQ_FLAGS[0])
+    for name in DQ_FLAGS[1:]:
+        any_flag = any_flag | F.col(name)
+    return flagged.filter(~any_flag).select(*clean_orders.columns)
 
 
 def doc_dq_monitor(flags: DataFrame) -> DataFrame:
@@ -105,13 +109,15 @@ def doc_dq_monitor(flags: DataFrame) -> DataFrame:
 
 
 def doc_dq_unique(clean_orders: DataFrame, restaurants: DataFrame) -> DataFrame:
-    """unique + not_null on the staging primary keys."""
-    return (
-        Q.unique(clean_orders, ["order_id"], "unique_stg_orders_order_id")
-        .unionByName(Q.not_null(clean_orders, "order_id", "not_null_stg_orders_order_id"))
-        .unionByName(Q.unique(restaurants, ["restaurant_id"], "unique_stg_restaurants_restaurant_id"))
-        .unionByName(
-            Q.not_null(restaurants, "restaurant_id", "not_null_stg_restaurants_restaurant_id")
+    """unique + not_null on the staging primary keys (one pass per table)."""
+    return Q.key_tests(
+        clean_orders, "order_id", "unique_stg_orders_order_id", "not_null_stg_orders_order_id"
+    ).unionByName(
+        Q.key_tests(
+            restaurants,
+            "restaurant_id",
+            "unique_stg_restaurants_restaurant_id",
+            "not_null_stg_restaurants_restaurant_id",
         )
     )
 
@@ -179,13 +185,14 @@ def doc_refund_drivers(refunds: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def doc_dq_pct_sum(drivers: DataFrame) -> DataFrame:
-    """Both percentage columns of the refund drivers must sum to 100 ± 0.1."""
-    return Q.sums_to(
-        drivers, "refund_count_pct", 100.0, PCT_TOLERANCE, "assert_refund_count_pct_sums_to_100"
-    ).unionByName(
-        Q.sums_to(
-            drivers, "refund_amount_pct", 100.0, PCT_TOLERANCE, "assert_refund_amount_pct_sums_to_100"
-        )
+    """Both percentage columns of the refund drivers must sum to 100 ± 0.1 (one pass)."""
+    names = {
+        "refund_count_pct": "assert_refund_count_pct_sums_to_100",
+        "refund_amount_pct": "assert_refund_amount_pct_sums_to_100",
+    }
+    totals = drivers.agg(*[F.sum(c).alias(n) for c, n in names.items()])
+    return totals.unpivot([], list(names.values()), "test_name", "total").withColumn(
+        "passed", F.abs(F.col("total") - 100.0) <= PCT_TOLERANCE
     )
 
 

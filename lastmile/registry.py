@@ -178,7 +178,7 @@ _QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     # documented model
     "doc_clean_orders": lambda m: m.doc_orders,
     "doc_dq_flags": lambda m: m.doc_flags,
-    "doc_stg_orders": lambda m: D.doc_stg_orders(m.doc_orders, m.doc_flags),
+    "doc_stg_orders": lambda m: D.doc_stg_orders(m.doc_orders, m.timeline, m.t.restaurants),
     "doc_dq_monitor": lambda m: D.doc_dq_monitor(m.doc_flags),
     "doc_dq_unique": lambda m: D.doc_dq_unique(m.doc_orders, m.t.restaurants),
     "doc_dq_pct_sum": lambda m: D.doc_dq_pct_sum(m.doc_drivers),
