@@ -167,17 +167,55 @@ def timeline_from_first_events(firsts: DataFrame) -> DataFrame:
     )
 
 
-def delivery_timeline(events: DataFrame) -> DataFrame:
+def delivery_timeline(events: DataFrame, rider_from_all_types: bool = False) -> DataFrame:
     """One row per order: the lifecycle timestamps of the first event of each type, the
     rider of the latest of those events, waits in minutes and the delivery status.
 
     Dedupe, pivot and rider choice are one aggregation on ``order_id`` (partial before the
     shuffle, final after it) instead of a window, a pivot and a second window joined back.
-    Event types other than the three lifecycle types are ignored.
+    Event types other than the three lifecycle types are ignored, unless
+    ``rider_from_all_types``: then the first event of every type competes for the rider
+    (as a dedupe over all types would have it), at the cost of a second aggregation.
     """
+    if rider_from_all_types:
+        return _timeline_all_types(events)
     return timeline_from_first_events(first_events(events))
 
 
+def _timeline_all_types(events: DataFrame) -> DataFrame:
+    """First event per (order, type) for every type, then one row per order."""
+    key = F.struct(
+        F.col("event_ts").alias("ts"),
+        F.col("rider_id").isNull().alias("no_rider"),
+        F.col("rider_id").alias("rider"),
+    )
+    firsts = events.groupBy("order_id", "event_type").agg(F.min(key).alias("w"))
+    latest = F.max(
+        F.when(
+            F.col("w.rider").isNotNull(),
+            F.struct(F.col("w.ts").alias("ts"), F.col("event_type"), F.col("w.rider").alias("rider")),
+        )
+    )
+    per_order = firsts.groupBy("order_id").agg(
+        *[
+            F.max(F.when(F.col("event_type") == t, F.struct(F.col("w.ts").alias("ts")))).alias(name)
+            for t, name in LIFECYCLE
+        ],
+        latest.getField("rider").alias("rider_id"),
+    )
+    timeline = per_order.select(
+        "order_id", *[F.col(f"{name}.ts").alias(name) for _, name in LIFECYCLE], "rider_id"
+    )
+    return timeline.withColumns(
+        {
+            "rider_wait_minutes": C.minutes_between("accepted_ts", "picked_ts"),
+            "pickup_to_delivery_minutes": C.minutes_between("picked_ts", "delivered_ts"),
+            "delivery_status": F.when(F.col("delivered_ts").isNull(), F.lit("INCOMPLETE"))
+            .otherwise(F.lit("COMPLETED")),
+        }
+    )
+
+
 def latest_rider(events: DataFrame) -> DataFrame:
     """order_id -> rider of its latest deduplicated event with a rider."""
     return (

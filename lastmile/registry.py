@@ -139,6 +139,7 @@ _QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     "silver_orders": lambda m: m.silver_orders,
     "order_value_bucket": lambda m: _distribution(m.silver_orders, "order_value_bucket"),
     "delivery_timeline": lambda m: m.timeline,
+    "delivery_timeline_all_types": lambda m: S.delivery_timeline(m.t.events, rider_from_all_types=True),
     "order_facts": lambda m: m.facts,
     "stream_delivery_timeline": lambda m: stream_timeline_from_tables(m.spark, m.t.sf_dir),
     # intermediate + marts

@@ -194,3 +194,55 @@ def test_keep_latest_matches_brute_force(spark, rows):
         if r[0] not in best or key > best[r[0]][0]:
             best[r[0]] = (key, r)
     assert got == sorted(v[1] for v in best.values())
+
+
+TYPES_PLUS = TYPES + ["CANCELLED", "ARRIVED"]
+
+
+def _brute_timeline_all_types(rows):
+    firsts = {}
+    for oid, rider, etype, ts in rows:
+        key = (ts is not None, ts or T0, rider is None, rider or 0)
+        cur = firsts.get((oid, etype))
+        if cur is None or key < cur[0]:
+            firsts[(oid, etype)] = (key, ts, rider)
+    out = {}
+    for oid in {r[0] for r in rows}:
+        acc = {t: firsts.get((oid, t)) for t in TYPES}
+        cands = [
+            ((v[1] is not None, v[1] or T0), t, v[2])
+            for (o, t), v in firsts.items()
+            if o == oid and v[2] is not None
+        ]
+        rider = max(cands)[2] if cands else None
+        out[oid] = tuple(acc[t][1] if acc[t] else None for t in TYPES) + (rider,)
+    return out
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    rows=st.lists(
+        st.tuples(
+            st.integers(1, 3),
+            st.one_of(st.none(), st.integers(1, 5)),
+            st.sampled_from(TYPES_PLUS),
+            st.one_of(st.none(), st.integers(0, 6).map(m)),
+        ),
+        min_size=1,
+        max_size=25,
+    )
+)
+def test_timeline_all_types_matches_brute_force(spark, rows):
+    df = spark.createDataFrame(rows, EVENTS).repartition(3)
+    got = {
+        r.order_id: (r.accepted_ts, r.picked_ts, r.delivered_ts, r.rider_id)
+        for r in S.delivery_timeline(df, rider_from_all_types=True).collect()
+    }
+    assert got == _brute_timeline_all_types(rows)
+    # with the three lifecycle types only, both forms agree
+    lifecycle = [r for r in rows if r[2] in TYPES]
+    if lifecycle:
+        d = spark.createDataFrame(lifecycle, EVENTS)
+        a = S.delivery_timeline(d, rider_from_all_types=True)
+        b = S.delivery_timeline(d)
+        assert a.exceptAll(b.select(*a.columns)).count() == 0
