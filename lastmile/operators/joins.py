@@ -36,6 +36,11 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     return _decisions[key]
 
 
+def clear_broadcast_decisions() -> None:
+    """Forget probe results (e.g. after a dimension's files were replaced)."""
+    _decisions.clear()
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 

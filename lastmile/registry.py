@@ -20,7 +20,8 @@ from lastmile.plans import marts as M
 from lastmile.plans import profiling as P
 from lastmile.plans import silver as S
 from lastmile.session import ensure_checkpoint_dir, session_key
-from lastmile.sources.tables import Tables
+from lastmile.operators.joins import clear_broadcast_decisions
+from lastmile.sources.tables import Tables, clear_schemas
 from lastmile.streaming.timeline import stream_timeline_from_tables
 
 
@@ -220,8 +221,11 @@ def model_for(spark: SparkSession, sf_dir: str) -> Model:
 
 
 def clear_plans() -> None:
-    """Forget memoized plans (e.g. after the input files were replaced)."""
+    """Forget memoized plans, footer schemas and broadcast decisions (e.g. after the input
+    files were replaced)."""
     _MODELS.clear()
+    clear_schemas()
+    clear_broadcast_decisions()
 
 
 def build(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,6 +59,11 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
+def clear_schemas() -> None:
+    """Forget cached footer schemas (e.g. after a table's files were replaced)."""
+    _SCHEMAS.clear()
+
+
 def _minutes_after(ts: Column, minutes: Column) -> Column:
     return F.timestamp_add("MINUTE", minutes, ts)
 

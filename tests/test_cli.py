@@ -14,3 +14,13 @@ def test_query_to_parquet(spark, tmp_dir):
     out = f"{tmp_dir}/refund_drivers"
     main(["query", "refund_drivers", SF_SMALL, "--out", out])
     assert same_rows(spark.read.parquet(out), build("refund_drivers", spark, SF_SMALL))
+
+
+def test_clear_plans_rebuilds(spark):
+    from lastmile.registry import clear_plans
+
+    first = build("sla_breach", spark, SF_SMALL)
+    assert build("sla_breach", spark, SF_SMALL) is first
+    clear_plans()
+    again = build("sla_breach", spark, SF_SMALL)
+    assert again is not first and same_rows(again, first)
