@@ -10,7 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lastmile.llm import minmax_dedup
+from lastmile.llm import langid, minmax_dedup
+from lastmile.llm.textops import crc_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,11 +20,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_remainder("doc_id", 4) == 2
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", held_out)
+    return langid.identify(docs, ~held_out, passed=("doc_id", "held_out"))
+
+
 def op7_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op5_language_id": op5_language_id,
     "op7_minmax_dedup": op7_minmax_dedup,
 }
 

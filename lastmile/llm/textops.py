@@ -115,3 +115,88 @@ def crc_remainder(doc_id: str | Column, modulus: int) -> Column:
     """crc32 of the id written as text, modulo ``modulus``; a null id counts as empty text."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+class Grams:
+    """Codes of the ``n`` bytes that end at each place of each document of a chunk.
+
+    A document is mapped through ``table`` (a byte for a byte) and followed by ``tail``; in
+    front of it stand ``n - 1`` bytes ``pad``. ``codes`` holds one code per place, ``inside``
+    says which places belong to a document, and ``sums`` adds values up by document.
+    """
+
+    def __init__(self, docs: list[bytes], n: int, table: bytes | None = None, pad: int = 32, tail: bytes = b""):
+        gap = bytes([pad]) * (n - 1)
+        if table is not None:
+            docs = [d.translate(table) for d in docs]
+        raw = gap + (tail + gap).join(docs) + tail
+        self.bytes = a = np.frombuffer(raw, dtype=np.uint8)
+        self.n = n
+        count = len(a) - n + 1
+        wide = a.astype(np.uint64)
+        self.codes = wide[:count].copy()
+        for j in range(1, n):
+            self.codes <<= np.uint64(8)
+            self.codes |= wide[j : j + count]
+        self.lengths = np.fromiter(map(len, docs), dtype=np.int64, count=len(docs)) + len(tail)
+        step = self.lengths + (n - 1)
+        self.starts = np.concatenate(([0], np.cumsum(step)[:-1]))
+        self.inside = np.ones(count, dtype=bool)
+        ends = (self.starts + self.lengths)[:-1]
+        for j in range(n - 1):
+            self.inside[ends + j] = False
+
+    def byte(self, back: int) -> np.ndarray:
+        """The byte ``back`` places before each place's last byte."""
+        at = self.n - 1 - back
+        return self.bytes[at : at + len(self.codes)]
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """Per document, the sum of ``values`` (along the first axis) over its places."""
+        dtype = np.float64 if values.dtype.kind == "f" else np.int64
+        end = np.zeros((1, *values.shape[1:]), dtype=values.dtype)
+        return np.add.reduceat(np.concatenate((values, end)), self.starts, axis=0, dtype=dtype)
+
+
+class Tally:
+    """Counts of uint64 keys, merged as they come; memory follows the distinct keys."""
+
+    LIMIT = 1 << 21
+
+    def __init__(self):
+        self.keys: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.pending = 0
+
+    def add(self, keys: np.ndarray) -> None:
+        k, c = np.unique(keys, return_counts=True)
+        self.merge(k, c)
+
+    def merge(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self.keys.append(keys)
+        self.counts.append(counts.astype(np.int64))
+        self.pending += len(keys)
+        if self.pending > self.LIMIT:
+            self._compact()
+            self.LIMIT = max(self.LIMIT, 2 * self.pending)
+
+    def _compact(self) -> None:
+        if len(self.keys) > 1:
+            keys, counts = np.concatenate(self.keys), np.concatenate(self.counts)
+            order = np.argsort(keys, kind="stable")
+            keys, counts = keys[order], counts[order]
+            first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+            self.keys, self.counts = [keys[first]], [np.add.reduceat(counts, first)]
+        self.pending = sum(map(len, self.keys))
+
+    def items(self) -> tuple[np.ndarray, np.ndarray]:
+        if not self.keys:
+            return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+        self._compact()
+        return self.keys[0], self.counts[0]
+
+
+# A-Z lower-cased, a-z and every byte of a non-ASCII character kept, the rest a space.
+LETTERS = bytes(
+    b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
+)
