@@ -8,11 +8,12 @@ sets of similarity 0.75 agree on no band with probability (1 - 0.75^4)^32 = 5e-6
 
 1. One pass over the texts gives per document the set size, a 128-bit hash of the whole
    set and the band hashes. Equal sets are one class from here on (copies are never paired).
-2. Every band bucket with several classes compares each of its classes with one centre, the
-   smallest class of the bucket. That is one pair per member, not all pairs.
-3. The links are confirmed on the full sets, and components are formed.
-4. Only buckets whose classes are still in different components go on: pairs of classes from
-   different components whose 128-bit sketches (one bit per signature value) agree on
+2. Every band bucket with several classes compares each of its classes with one centre. That
+   is one pair per member, not all pairs. The links are confirmed on the full sets, and
+   components are formed. Buckets whose classes are still in different components repeat this
+   with another centre, ``ROUNDS`` times in all.
+3. What is left then are classes with few links: pairs of classes from different components
+   of one bucket whose 128-bit sketches (one bit per signature value) agree on
    ``SKETCH_AGREE`` bits (a linked pair fails that with probability below 1e-7) are confirmed
    on the full sets too, and the components formed anew. No bucket is capped.
 
@@ -39,6 +40,7 @@ BANDS = 2 * PERMUTATIONS // BAND_ROWS
 SHINGLE_WORDS = 5
 SIMILARITY = (75, 100)  # at least 75 / 100
 SKETCH_AGREE = 90       # of 128 bits
+ROUNDS = 4
 
 _rng = np.random.default_rng(7)
 _MULTIPLY = (_rng.integers(0, 2**32, PERMUTATIONS, dtype=np.uint32) | np.uint32(1))[:, None]
@@ -140,6 +142,19 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -
     return both.filter(_similar(shared, F.size("sa"), F.size("sb"), similarity)).select("a", "b")
 
 
+def _mixed(bucketed: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The rows, with their component, of the buckets that hold more than one component."""
+    if labels is None:
+        return bucketed.withColumn("component", F.col("key"))
+    named = bucketed.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn(
+        "component", F.coalesce("component", "key")
+    )
+    several = named.groupBy("band").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter(
+        "c0 != c1"
+    )
+    return named.join(several.select("band"), "band", "left_semi")
+
+
 def near_duplicates(
     docs: DataFrame,
     shingle_words: int = SHINGLE_WORDS,
@@ -181,20 +196,33 @@ def near_duplicates(
         "minmax-sets",
     )
 
-    fits = whole * F.least("na", "n") >= part * F.greatest("na", "n")
-    star = bucketed.filter((F.col("key") != F.col("a")) & fits).select("a", F.col("key").alias("b")).distinct()
-    star = written(star, "minmax-star")
-    links = written(_confirmed(star, sets, similarity), "minmax-links")
-    labels = connected_components(links)
-
-    # Buckets that still hold classes of different components.
-    named = bucketed.join(labels.withColumnRenamed("node", "key"), "key", "left").select(
-        "band", "key", "n", "s0", "s1", F.coalesce("component", "key").alias("component")
-    )
-    mixed = named.groupBy("band").agg(
-        F.min("component").alias("c0"), F.max("component").alias("c1")
-    ).filter("c0 != c1").select("band")
-    left = written(named.join(mixed, "band", "left_semi"), "minmax-mixed")
+    # Rounds: in every bucket that holds several components, its members are compared with one
+    # centre, another one each round. A member with many links meets one of them soon.
+    tested, links, labels = None, None, None
+    for turn in range(ROUNDS):
+        mixed = _mixed(bucketed, labels)
+        if turn == 0:
+            centres = mixed.select("band", "key", "n", "s0", "s1", "component", F.col("a"), F.col("na"), F.col("a").alias("ca"))
+        else:
+            drawn = mixed.groupBy("band").agg(
+                F.min_by(F.struct("key", "n", "component"), F.xxhash64("key", F.lit(turn))).alias("c")
+            ).select("band", F.col("c.key").alias("a"), F.col("c.n").alias("na"), F.col("c.component").alias("ca"))
+            centres = mixed.drop("a", "na").join(drawn, "band")
+        pairs = centres.filter(
+            (F.col("component") != F.col("ca")) & (whole * F.least("na", "n") >= part * F.greatest("na", "n"))
+        ).select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b")).distinct()
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = written(pairs, "minmax-pairs")
+        found = written(_confirmed(pairs, sets, similarity), "minmax-links")
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        links = found if links is None else links.unionByName(found)
+        if turn and found.isEmpty():
+            break
+        labels = connected_components(links)
+
+    # What is still in different components: all remaining pairs across components.
+    left = written(_mixed(bucketed, labels), "minmax-mixed")
     x, y = left.alias("x"), left.alias("y")
     differing = F.bit_count(F.col("x.s0").bitwiseXOR(F.col("y.s0"))) + F.bit_count(
         F.col("x.s1").bitwiseXOR(F.col("y.s1"))
@@ -209,7 +237,7 @@ def near_duplicates(
         )
         .select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b"))
         .distinct()
-        .join(star, ["a", "b"], "left_anti")
+        .join(tested, ["a", "b"], "left_anti")
     )
     more = written(_confirmed(rest, sets, similarity), "minmax-links")
     if not more.isEmpty():
