@@ -9,8 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lastmile.llm import langid, minmax_dedup
+from lastmile.llm import langid, minmax_dedup, toxicity
 from lastmile.llm.textops import crc_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,9 +31,20 @@ def op7_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = crc_remainder("doc_id", 5)
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", fold == 0)
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    scored = toxicity.score(
+        docs, labels, train=fold.isin(1, 2, 3), calibrate=fold == 4, passed=("doc_id", "held_out")
+    )
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+
+
 QUERIES: dict[str, Query] = {
     "op5_language_id": op5_language_id,
     "op7_minmax_dedup": op7_minmax_dedup,
+    "op9_toxicity": op9_toxicity,
 }
 
 
