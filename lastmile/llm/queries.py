@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lastmile.llm import langid, minmax_dedup, toxicity
+from lastmile.llm import langid, minmax_dedup, quality, toxicity
 from lastmile.llm.textops import crc_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_remainder("doc_id", 3) == 1
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", held_out)
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "quality")
+    scored = quality.score(docs, labels, train=~held_out, passed=("doc_id", "held_out"))
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = crc_remainder("doc_id", 4) == 2
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", held_out)
@@ -42,6 +50,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality_gam": op1_quality_gam,
     "op5_language_id": op5_language_id,
     "op7_minmax_dedup": op7_minmax_dedup,
     "op9_toxicity": op9_toxicity,
