@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from lastmile.llm.licenses import TEMPLATES
+
 OP7 = r"""
 with recursive docs as (
   select doc_id, regexp_extract_all(
@@ -33,5 +35,40 @@ from documents d join component c using (doc_id) left join sizes z using (doc_id
 """
 
 
+def _op10() -> str:
+    rows = ", ".join(
+        f"({k}, '{t.label}', {len(t.words)}, {len(t.mandatory)}, {t.base}, {j}, '{w}', {j in t.mandatory})"
+        for k, t in enumerate(TEMPLATES)
+        for j, w in enumerate(t.words)
+    )
+    return rf"""
+with docs as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents
+), template(id, label, n, must_n, base, place, word, must) as (values {rows}),
+hit as (
+  select doc_id, i - 1 as pos, w[i] as word from docs, unnest(range(1, len(w) + 1)) r(i)
+  where w[i] in (select word from template)
+), place as (
+  select doc_id, id, label, base, n, pos - place as start, count(*) as standing
+  from hit join template using (word)
+  group by doc_id, id, label, base, n, must_n, pos - place
+  having count(*) filter (where must) = must_n
+), found as (
+  select doc_id, count(*) filter (where base) as n_base,
+    min(start) filter (where base) as first_word, max(start) filter (where base) as last_word,
+    string_agg(distinct label, ',' order by label) filter (where base) as base_labels,
+    string_agg(distinct label, ',' order by label) as labels, max(standing / n) as score
+  from place group by doc_id
+)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
+  coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels,
+  cast(coalesce(score, 0) as double) as score
+from docs left join found using (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_minmax_dedup": OP7}
+    return {"op7_minmax_dedup": OP7, "op10_license_scan": _op10()}

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lastmile.llm import langid, minmax_dedup, quality, toxicity
+from lastmile.llm import langid, licenses, minmax_dedup, quality, toxicity
 from lastmile.llm.textops import crc_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,11 +49,17 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(docs, passed=("doc_id",)).drop("places")
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_gam": op1_quality_gam,
     "op5_language_id": op5_language_id,
     "op7_minmax_dedup": op7_minmax_dedup,
     "op9_toxicity": op9_toxicity,
+    "op10_license_scan": op10_license_scan,
 }
 
 
