@@ -35,6 +35,29 @@ from documents d join component c using (doc_id) left join sizes z using (doc_id
 """
 
 
+OP4 = r"""
+with recursive vectors as (
+  select vec_id, label, cast(embedding as double[]) as e, len(embedding) as n from embeddings
+  where label is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links as (
+  select x.vec_id as a, y.vec_id as b from vectors x join vectors y
+  on x.label = y.label and x.n = y.n and x.vec_id <> y.vec_id
+  and list_dot_product(x.e, y.e) / sqrt(list_dot_product(x.e, x.e) * list_dot_product(y.e, y.e)) >= 0.93
+), reach as (
+  select vec_id as a, vec_id as b from embeddings
+  union
+  select reach.a, links.b from reach join links on links.a = reach.b
+), component as (
+  select a as vec_id, min(b) as component_id from reach group by a
+)
+select vec_id, (select count(*) from links where links.a = component.vec_id) as n_links,
+  component_id, vec_id = component_id as kept
+from component
+"""
+
+
 def _op10() -> str:
     rows = ", ".join(
         f"({k}, '{t.label}', {len(t.words)}, {len(t.mandatory)}, {t.base}, {j}, '{w}', {j in t.mandatory})"
@@ -71,4 +94,4 @@ from docs left join found using (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_minmax_dedup": OP7, "op10_license_scan": _op10()}
+    return {"op4_subspace_dedup": OP4, "op7_minmax_dedup": OP7, "op10_license_scan": _op10()}

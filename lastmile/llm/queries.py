@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lastmile.llm import langid, licenses, minmax_dedup, quality, toxicity
+from lastmile.llm import langid, licenses, minmax_dedup, quality, subspace_dedup, toxicity
 from lastmile.llm.textops import crc_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op1_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 
 
+def op4_subspace_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subspace_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = crc_remainder("doc_id", 4) == 2
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", held_out)
@@ -56,6 +60,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_gam": op1_quality_gam,
+    "op4_subspace_dedup": op4_subspace_dedup,
     "op5_language_id": op5_language_id,
     "op7_minmax_dedup": op7_minmax_dedup,
     "op9_toxicity": op9_toxicity,
