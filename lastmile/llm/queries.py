@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lastmile.llm import langid, licenses, minmax_dedup, qalsh, quality, subspace_dedup, toxicity
+from lastmile.llm import langid, licenses, minmax_dedup, mixing, qalsh, quality, subspace_dedup, toxicity
 from lastmile.llm.textops import crc_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,14 @@ def op7_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = mixing.rates(docs, _table(spark, sf_dir, "labels"))
+    return out.select(
+        "doc_id", F.col("__t").cast("bigint").alias("tokens"), F.col("__p").alias("posteriors"), "rate", "copies"
+    )
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = crc_remainder("doc_id", 5)
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", fold == 0)
@@ -68,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "op4_subspace_dedup": op4_subspace_dedup,
     "op5_language_id": op5_language_id,
     "op7_minmax_dedup": op7_minmax_dedup,
+    "op8_soft_mixing": op8_soft_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_license_scan": op10_license_scan,
 }
