@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lastmile.llm import langid, licenses, minmax_dedup, mixing, qalsh, quality, subspace_dedup, toxicity
+from lastmile.llm import langid, licenses, minmax_dedup, mixing, packing, qalsh, quality, subspace_dedup, toxicity
 from lastmile.llm.textops import crc_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op1_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 
 
+def op2_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_table(spark, sf_dir, "documents"))
+
+
 def op3_qalsh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qalsh.nearest(_table(spark, sf_dir, "embeddings"), queries=F.col("vec_id") % 20 == 0, k=20)
 
@@ -72,6 +76,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_gam": op1_quality_gam,
+    "op2_bm25_packing": op2_bm25_packing,
     "op3_qalsh": op3_qalsh,
     "op4_subspace_dedup": op4_subspace_dedup,
     "op5_language_id": op5_language_id,
