@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lastmile.llm import langid, licenses, minmax_dedup, mixing, packing, qalsh, quality, subspace_dedup, toxicity
+from lastmile.llm import langid, licenses, minmax_dedup, mixing, packing, ppm, qalsh, quality, subspace_dedup, toxicity
 from lastmile.llm.textops import crc_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,12 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, ~held_out, passed=("doc_id", "held_out"))
 
 
+def op6_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_remainder("doc_id", 10) == 0
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", held_out)
+    return ppm.score(docs, train=~held_out, passed=("doc_id", "held_out"))
+
+
 def op7_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -80,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "op3_qalsh": op3_qalsh,
     "op4_subspace_dedup": op4_subspace_dedup,
     "op5_language_id": op5_language_id,
+    "op6_ppm": op6_ppm,
     "op7_minmax_dedup": op7_minmax_dedup,
     "op8_soft_mixing": op8_soft_mixing,
     "op9_toxicity": op9_toxicity,
