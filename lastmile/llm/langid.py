@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lastmile.llm.store import written
-from lastmile.llm.textops import LETTERS, Grams, Tally, chunks, mix, utf8
+from lastmile.llm.textops import LETTERS, Grams, Tally, chunks, mix, utf8, with_fields
 
 GRAM = 4
 SHARE = 0.2
@@ -176,5 +176,4 @@ def identify(docs: DataFrame, chosen: Column, passed: tuple[str, ...] = ()) -> D
             yield pa.RecordBatch.from_arrays([*own, pa.array(lang, type=pa.string()), pa.array(score)], names=names)
 
     src = docs.select(*passed, F.col("text").cast("string"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
-    return src.mapInArrow(run, (schema + ", " if schema else "") + "lang_pred string, score double")
+    return src.mapInArrow(run, with_fields(src, passed, "lang_pred string, score double"))

@@ -8,14 +8,14 @@ sets of similarity 0.75 agree on no band with probability (1 - 0.75^4)^32 = 5e-6
 
 1. One pass over the texts gives per document the set size, a 128-bit hash of the whole
    set and the band hashes. Equal sets are one class from here on (copies are never paired).
-2. Every band bucket with several classes compares each of its classes with one centre. That
-   is one pair per member, not all pairs. The links are confirmed on the full sets, and
-   components are formed. Buckets whose classes are still in different components repeat this
-   with another centre, ``ROUNDS`` times in all.
-3. What is left then are classes with few links: pairs of classes from different components
-   of one bucket whose 128-bit sketches (one bit per signature value) agree on
-   ``SKETCH_AGREE`` bits (a linked pair fails that with probability below 1e-7) are confirmed
-   on the full sets too, and the components formed anew. No bucket is capped.
+2. Every band bucket with several classes compares each of its classes with one centre, the
+   smallest class of the bucket: one pair per member, not all pairs. The links are confirmed
+   on the full sets, and components are formed.
+3. What is left are buckets whose classes are still in different components. Classes that such
+   buckets connect form a cluster; a cluster's classes travel once, with their sets, to tasks that
+   compare those of different components that share a band, on the full sets, and return
+   only links that join components. A cluster of more than ``TILE_SHINGLES`` is dealt out as tiles,
+   a tile against a tile per task. No bucket is capped.
 
 Sets of a shingle are 64-bit hashes; classes are 128-bit hashes of the sorted set.
 """
@@ -39,8 +39,7 @@ BAND_ROWS = 4
 BANDS = 2 * PERMUTATIONS // BAND_ROWS
 SHINGLE_WORDS = 5
 SIMILARITY = (75, 100)  # at least 75 / 100
-SKETCH_AGREE = 90       # of 128 bits
-ROUNDS = 4
+TILE_SHINGLES = 2_000_000  # of the classes of one task of the last step
 
 _rng = np.random.default_rng(7)
 _MULTIPLY = (_rng.integers(0, 2**32, PERMUTATIONS, dtype=np.uint32) | np.uint32(1))[:, None]
@@ -79,13 +78,7 @@ def bands(signatures: np.ndarray) -> np.ndarray:
     return out
 
 
-def sketches(signatures: np.ndarray) -> np.ndarray:
-    """(documents, 2) int64: the lowest bit of every signature value."""
-    bits = (mix(signatures.astype(np.uint64)) & np.uint64(1)).astype(np.uint8)
-    return np.packbits(bits, axis=1).view(np.int64).reshape(len(signatures), -1)
-
-
-_FEATURES = "doc_id bigint, n_shingles bigint, key binary, bands array<bigint>, s0 bigint, s1 bigint"
+_FEATURES = "doc_id bigint, n_shingles bigint, key binary, bands array<bigint>"
 
 
 def _features(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
@@ -106,11 +99,9 @@ def _features(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBa
         listed = pa.ListArray.from_arrays(
             np.arange(0, len(flat) + 1, BANDS, dtype=np.int32), pa.array(flat)
         )
-        sketch = sketches(sigs)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(size), pa.array(keys, type=pa.binary()), listed,
-             pa.array(sketch[:, 0].copy()), pa.array(sketch[:, 1].copy())],
-            names=["doc_id", "n_shingles", "key", "bands", "s0", "s1"],
+            [batch.column(0), pa.array(size), pa.array(keys, type=pa.binary()), listed],
+            names=["doc_id", "n_shingles", "key", "bands"],
         )
 
 
@@ -121,7 +112,7 @@ def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]
             sets = [shingle_set(w.hashes[w.offsets[d] : w.offsets[d + 1]], n) for d in range(len(docs))]
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
             at = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
-            flat = pa.array(np.concatenate(sets).view(np.int64))
+            flat = pa.array(np.concatenate([np.sort(s.view(np.int64)) for s in sets]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, type=pa.binary()), pa.ListArray.from_arrays(at, flat)],
                 names=["key", "shingles"],
@@ -142,17 +133,51 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -
     return both.filter(_similar(shared, F.size("sa"), F.size("sb"), similarity)).select("a", "b")
 
 
-def _mixed(bucketed: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """The rows, with their component, of the buckets that hold more than one component."""
-    if labels is None:
-        return bucketed.withColumn("component", F.col("key"))
-    named = bucketed.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn(
-        "component", F.coalesce("component", "key")
-    )
-    several = named.groupBy("band").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter(
-        "c0 != c1"
-    )
-    return named.join(several.select("band"), "band", "left_semi")
+def _cluster_links(table: pa.Table, similarity: tuple[int, int]) -> pa.Table:
+    """Links that join different components among the classes of one pair of tiles.
+
+    Classes meet where they share a band; a pair is looked at in its first common band only, and
+    not at all once its components are joined. The sets are compared in full.
+    """
+    part, whole = similarity
+    keys = table.column("key").to_pylist()
+    tile = table.column("tile").to_numpy()
+    crossed = tile.min() != tile.max()
+    names = table.column("component").to_pylist()
+    number = {c: i for i, c in enumerate(dict.fromkeys(names))}
+    root = np.array([number[c] for c in names])
+    listed = table.column("shingles").combine_chunks()
+    at, flat = listed.offsets.to_numpy(), listed.values.to_numpy()
+    size = np.diff(at)
+    grid = table.column("bands").combine_chunks().flatten().to_numpy().reshape(len(keys), BANDS)
+    out: list[tuple[bytes, bytes]] = []
+    for band in range(BANDS):
+        order = np.argsort(grid[:, band], kind="stable")
+        value = grid[order, band]
+        borders = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1], [True])))
+        for lo, hi in zip(borders[:-1][np.diff(borders) > 1], borders[1:][np.diff(borders) > 1]):
+            run = order[lo:hi]
+            for k, x in enumerate(run[:-1]):
+                y = run[k + 1 :]
+                y = y[(root[y] != root[x]) & (whole * np.minimum(size[x], size[y]) >= part * np.maximum(size[x], size[y]))]
+                if crossed:
+                    y = y[tile[y] != tile[x]]
+                if band and len(y):
+                    y = y[~(grid[y, :band] == grid[x, :band]).any(axis=1)]
+                if not len(y):
+                    continue
+                n = size[y]
+                ends = np.cumsum(n)
+                place = np.arange(int(ends[-1])) + np.repeat(at[y] - (ends - n), n)
+                mine = flat[at[x] : at[x + 1]]
+                spot = np.searchsorted(mine, flat[place])
+                spot[spot == len(mine)] = 0
+                shared = np.add.reduceat((mine[spot] == flat[place]).astype(np.int64), ends - n)
+                for z in y[whole * shared >= part * (size[x] + n - shared)]:
+                    if root[z] != root[x]:
+                        out.append((keys[x], keys[z]))
+                        root[root == root[z]] = root[x]
+    return pa.table({"a": pa.array([o[0] for o in out], type=pa.binary()), "b": pa.array([o[1] for o in out], type=pa.binary())})
 
 
 def near_duplicates(
@@ -173,11 +198,11 @@ def near_duplicates(
     classes = written(
         features.filter(F.col("key").isNotNull()).groupBy("key").agg(
             F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"),
-            F.first("bands").alias("bands"), F.first("s0").alias("s0"), F.first("s1").alias("s1"),
+            F.first("bands").alias("bands"),
         ),
         "minmax-classes",
     )
-    rows = classes.select(F.explode("bands").alias("band"), "key", "n", "s0", "s1")
+    rows = classes.select(F.explode("bands").alias("band"), "key", "n")
     shared = (
         rows.groupBy("band")
         .agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("key", "n")).alias("centre"))
@@ -196,50 +221,37 @@ def near_duplicates(
         "minmax-sets",
     )
 
-    # Rounds: in every bucket that holds several components, its members are compared with one
-    # centre, another one each round. A member with many links meets one of them soon.
-    tested, links, labels = None, None, None
-    for turn in range(ROUNDS):
-        mixed = _mixed(bucketed, labels)
-        if turn == 0:
-            centres = mixed.select("band", "key", "n", "s0", "s1", "component", F.col("a"), F.col("na"), F.col("a").alias("ca"))
-        else:
-            drawn = mixed.groupBy("band").agg(
-                F.min_by(F.struct("key", "n", "component"), F.xxhash64("key", F.lit(turn))).alias("c")
-            ).select("band", F.col("c.key").alias("a"), F.col("c.n").alias("na"), F.col("c.component").alias("ca"))
-            centres = mixed.drop("a", "na").join(drawn, "band")
-        pairs = centres.filter(
-            (F.col("component") != F.col("ca")) & (whole * F.least("na", "n") >= part * F.greatest("na", "n"))
-        ).select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "minmax-pairs")
-        found = written(_confirmed(pairs, sets, similarity), "minmax-links")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
-        if turn and found.isEmpty():
-            break
-        labels = connected_components(links)
-
-    # What is still in different components: all remaining pairs across components.
-    left = written(_mixed(bucketed, labels), "minmax-mixed")
-    x, y = left.alias("x"), left.alias("y")
-    differing = F.bit_count(F.col("x.s0").bitwiseXOR(F.col("y.s0"))) + F.bit_count(
-        F.col("x.s1").bitwiseXOR(F.col("y.s1"))
+    fits = whole * F.least("na", "n") >= part * F.greatest("na", "n")
+    star = bucketed.filter((F.col("key") != F.col("a")) & fits).select("a", F.col("key").alias("b")).distinct()
+    links = written(_confirmed(star, sets, similarity), "minmax-links")
+    labels = connected_components(links)
+
+    # Buckets that still hold several components: their classes, in clusters of classes that
+    # such buckets connect, are compared inside tasks.
+    named = bucketed.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn(
+        "component", F.coalesce("component", "key")
     )
-    rest = (
-        x.join(
-            y,
-            (F.col("x.band") == F.col("y.band"))
-            & (F.col("x.component") < F.col("y.component"))
-            & (whole * F.least("x.n", "y.n") >= part * F.greatest("x.n", "y.n"))
-            & (differing <= 2 * PERMUTATIONS - SKETCH_AGREE),
-        )
-        .select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b"))
-        .distinct()
-        .join(tested, ["a", "b"], "left_anti")
+    several = named.groupBy("band").agg(
+        F.min("component").alias("c0"), F.max("component").alias("c1"), F.min("key").alias("first")
+    ).filter("c0 != c1").select("band", "first")
+    mixed = written(named.join(several, "band").select("key", "n", "component", "first").distinct(), "minmax-mixed")
+    clusters = connected_components(mixed.select(F.col("key").alias("a"), F.col("first").alias("b")))
+    members = (
+        mixed.select("key", "n", "component").distinct()
+        .join(clusters.select(F.col("node").alias("key"), F.col("component").alias("cluster")), "key")
+    )
+    tiles = members.groupBy("cluster").agg(F.ceil(F.sum(F.col("n") + BANDS) / TILE_SHINGLES).cast("int").alias("tiles"))
+    placed = (
+        members.join(tiles, "cluster").withColumn("tile", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        .select("cluster", F.least("tile", "other").alias("t"), F.greatest("tile", "other").alias("u"), "tile", "key", "component")
+    )
+    more = written(
+        placed.join(sets, "key").join(classes.select("key", "bands"), "key").groupBy("cluster", "t", "u").applyInArrow(
+            lambda table: _cluster_links(table, similarity), "a binary, b binary"
+        ),
+        "minmax-links",
     )
-    more = written(_confirmed(rest, sets, similarity), "minmax-links")
     if not more.isEmpty():
         labels = connected_components(links.unionByName(more))
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lastmile.llm.store import written
-from lastmile.llm.textops import Grams, Tally, Words, chunks, utf8
+from lastmile.llm.textops import Grams, Tally, Words, chunks, utf8, with_fields
 
 ORDER = 4
 PART_BYTES = 16 << 20
@@ -200,7 +200,6 @@ def score(docs: DataFrame, train: Column, passed: tuple[str, ...] = ()) -> DataF
         return pa.table(columns, names=names)
 
     given = dealt.drop("train")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*passed).schema.fields) if passed else ""
     return given.groupBy("part").cogroup(own.groupBy("part")).applyInArrow(
-        run, (schema + ", " if schema else "") + "n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
+        run, with_fields(given, passed, "n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
     )

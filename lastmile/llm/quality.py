@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lastmile.llm.textops import Words, chunks, utf8, word_windows
+from lastmile.llm.textops import Words, chunks, utf8, word_windows, with_fields
 
 FEATURES = (
     "log_words", "word_length", "upper", "digits", "symbols", "non_ascii", "distinct_words",
@@ -245,5 +245,4 @@ def score(docs: DataFrame, labels: DataFrame, train: Column, passed: tuple[str,
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(passed))], pa.array(p)], names=names)
 
     src = docs.select(*passed, F.col("text").cast("string"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
-    return src.mapInArrow(run, (schema + ", " if schema else "") + "score double")
+    return src.mapInArrow(run, with_fields(src, passed, "score double"))

@@ -15,8 +15,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHUNK = 2 << 20
 _SEP = b"\n"
@@ -111,6 +112,11 @@ def word_windows(hashes: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
+def with_fields(df: DataFrame, passed: tuple[str, ...], more: str) -> T.StructType:
+    """The schema of the passed columns of ``df``, followed by the fields of ``more`` (DDL)."""
+    return T.StructType([*[df.schema[c] for c in passed], *T.StructType.fromDDL(more).fields])
+
+
 def crc_remainder(doc_id: str | Column, modulus: int) -> Column:
     """crc32 of the id written as text, modulo ``modulus``; a null id counts as empty text."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
