@@ -56,6 +56,11 @@ def minutes_between(start: str | Column, end: str | Column) -> Column:
     return (F.unix_timestamp(_c(end)) - F.unix_timestamp(_c(start))) / 60
 
 
+def exact_minutes_between(start: str | Column, end: str | Column) -> Column:
+    """(end - start) in minutes as double, microseconds counted; NULL if either is NULL."""
+    return F.timestamp_diff("MICROSECOND", _c(start), _c(end)) / 60_000_000
+
+
 def flag(cond: Column) -> Column:
     """int 1 when ``cond`` is true, else 0 (NULL counts as false)."""
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))
@@ -132,9 +137,18 @@ def stable_mean(c: str | Column) -> Column:
     return F.round(F.avg(_c(c)), MEAN_DECIMALS)
 
 
-def cents_sum(c: str | Column) -> Column:
-    """Sum of money held as double, summed exactly in cents (independent of row order)."""
-    return F.sum(_c(c).cast("decimal(18,2)")).cast("double")
+MONEY_TYPE = "decimal(38,10)"
+
+
+def money_sum(c: str | Column) -> Column:
+    """Sum of money held as double, independent of row order: added up exactly at ten decimals and
+    turned into a double once. If an amount or the sum is beyond 28 digits (or not a number),
+    the plain sum of doubles."""
+    amount = _c(c)
+    exact = amount.try_cast(MONEY_TYPE)
+    return F.when(F.count(exact) == F.count(amount), F.coalesce(F.try_sum(exact).cast("double"), F.sum(amount))).otherwise(
+        F.sum(amount)
+    )
 
 
 # -- documented variants ---------------------------------------------------------------

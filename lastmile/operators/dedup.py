@@ -25,9 +25,10 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
 def keep_latest(df: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
     """Keep the row with the greatest ``by`` per key (NULL ``by`` loses).
 
-    Ties are broken by every remaining column in schema order, each descending with NULLs
-    last, so the result never depends on input order.
+    Ties go to the smaller 64-bit hash of the remaining columns, so the result never depends on
+    input order. The hash is taken where the row is read: only it, ``by`` and the columns a
+    query needs are shuffled, not every column as a sort key.
     """
     rest = [c for c in df.columns if c not in set(keys) and c != by]
-    order = [F.col(by).desc_nulls_last()] + [F.col(c).desc_nulls_last() for c in rest]
+    order = [F.col(by).desc_nulls_last()] + ([F.xxhash64(*rest).asc()] if rest else [])
     return keep_first(df, keys, order)

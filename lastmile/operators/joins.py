@@ -1,8 +1,7 @@
 """Joins against dimensions and keyed aggregates.
 
-Broadcasting is decided per dimension by a bounded probe: ``take(max_rows + 1)`` of a
-constant column. ``take`` scans partitions incrementally and stops once it has enough rows,
-so the probe costs at most ``max_rows + 1`` rows however large the dimension is. Below
+Broadcasting is decided per dimension, each time a query is built, by a bounded probe: a count
+of at most one row more than the bound, which is in bytes (rows times estimated width). Below
 the bound the dimension is broadcast (the large side is not shuffled at all); above it the
 join is left to the planner: a sort-merge join on the key, which AQE can still turn into
 a broadcast from measured shuffle sizes, and whose skewed partitions AQE splits.
@@ -15,33 +14,30 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lastmile.session import session_key
+from pyspark.sql import types as T
 
-# A dimension this small (a few columns per row) broadcasts in a few MB.
-BROADCAST_MAX_ROWS = 200_000
+# What a broadcast side may take, as rows times the estimated width of a row.
+BROADCAST_MAX_BYTES = 16 << 20
+_TEXT_BYTES = 64
 
-_decisions: dict[tuple[str, int, int], bool] = {}
 
+def row_bytes(df: DataFrame) -> int:
+    """Estimated size of a row in memory: 8 bytes a value, 64 a text or nested value."""
+    plain = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    return 16 + sum(8 if isinstance(f.dataType, plain) else _TEXT_BYTES for f in df.schema.fields)
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` provably has at most ``max_rows`` rows.
-
-    Decisions are remembered per (session, plan) so a dimension used by several
-    queries of one session is probed once.
-    """
-    key = (session_key(df.sparkSession), df.semanticHash(), max_rows)
-    if key not in _decisions:
-        probe = df.select(F.lit(1).alias("_one")).take(max_rows + 1)
-        _decisions[key] = len(probe) <= max_rows
-    return _decisions[key]
 
+def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (default: as many as fit the byte bound).
 
-def clear_broadcast_decisions() -> None:
-    """Forget probe results (e.g. after a dimension's files were replaced)."""
-    _decisions.clear()
+    Probed anew each time, as the data may have grown; the count stops after one row more
+    than the bound and only a number reaches the driver.
+    """
+    rows = BROADCAST_MAX_BYTES // row_bytes(df) if max_rows is None else max_rows
+    return df.select(F.lit(1).alias("_one")).limit(rows + 1).count() <= rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
@@ -50,7 +46,7 @@ def lookup_join(
     dim: DataFrame,
     on: str | Sequence[str],
     how: str = "left",
-    max_rows: int = BROADCAST_MAX_ROWS,
+    max_rows: int | None = None,
     bound: DataFrame | None = None,
 ) -> DataFrame:
     """Join a (possibly large, possibly skewed) fact side to a keyed dimension.

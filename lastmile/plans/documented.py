@@ -98,6 +98,34 @@ def doc_stg_orders(clean_orders: DataFrame, timeline: DataFrame, restaurants: Da
     return flagged.filter(~any_flag).select(*clean_orders.columns)
 
 
+def doc_order_refunds(clean_orders: DataFrame, refunds: DataFrame) -> DataFrame:
+    """A row per order and refund, orders without a refund kept (category and amount NULL)."""
+    each = refunds.select(
+        "order_id", C.refund_category("refund_reason").alias("refund_category"), F.col("refund_amount")
+    )
+    return clean_orders.select("order_id", "city", "order_date", "order_value").join(each, "order_id", "left")
+
+
+def doc_event_flags(events: DataFrame, orders: DataFrame) -> DataFrame:
+    """Each event with a flag that its order is unknown (a NULL order id is), for staging to drop."""
+    known = orders.select("order_id").distinct().withColumn("_known", F.lit(True))
+    return events.join(known, "order_id", "left").withColumn("_dq_orphan_event", F.col("_known").isNull()).drop("_known")
+
+
+def doc_stg_events(events: DataFrame, orders: DataFrame) -> DataFrame:
+    """Staging: the events of known orders."""
+    return doc_event_flags(events, orders).filter(~F.col("_dq_orphan_event")).drop("_dq_orphan_event")
+
+
+def doc_delivery_minutes(facts: DataFrame) -> DataFrame:
+    """Delivery and delay minutes with the fraction of a second."""
+    return facts.select(
+        "order_id",
+        C.exact_minutes_between("order_ts", "delivered_ts").alias("delivery_minutes"),
+        C.exact_minutes_between("promised_delivery_ts", "delivered_ts").alias("delay_minutes"),
+    )
+
+
 def doc_dq_monitor(flags: DataFrame) -> DataFrame:
     return flags.agg(
         F.count(F.lit(1)).alias("total_records"),
@@ -164,7 +192,7 @@ def doc_refund_drivers(refunds: DataFrame, orders: DataFrame) -> DataFrame:
     unpartitioned windows run on the at most four category rows.
     """
     valid = semi_join(refunds, orders.select("order_id"), "order_id")
-    amount = F.col("refund_amount").cast("decimal(18,2)")
+    amount = F.col("refund_amount").cast(C.MONEY_TYPE)
     agg = valid.groupBy(C.refund_category("refund_reason").alias("refund_category")).agg(
         F.count(F.lit(1)).alias("refund_count"), F.sum(amount).alias("_amount")
     )
@@ -263,12 +291,9 @@ def doc_weekly(facts: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_orders"),
         _count_if(completed).alias("completed_orders"),
         _count_if(status == CANCELLED_STATUS).alias("cancelled_orders"),
-        # Order values are exact at 6 decimals (never a rounding tie); summed exactly, then
-        # rounded to the cent.
-        F.round(F.sum(F.when(completed, F.col("order_value").cast("decimal(18,6)"))), 2)
-        .cast("double")
-        .alias("total_gmv"),
-        C.cents_sum("refund_amount").alias("refund_amount"),
+        # Summed exactly, then rounded to the cent once.
+        F.round(C.money_sum(F.when(completed, F.col("order_value"))), 2).alias("total_gmv"),
+        C.money_sum("refund_amount").alias("refund_amount"),
     )
     return agg.withColumns(
         {

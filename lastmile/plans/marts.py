@@ -76,9 +76,11 @@ def sla_breach(facts: DataFrame) -> DataFrame:
 
 
 def restaurant_prep_delay(facts: DataFrame) -> DataFrame:
-    return int_restaurant_metrics(facts).orderBy(
-        F.col("breach_rate").desc_nulls_last(), F.col("restaurant_id").asc_nulls_first()
-    )
+    return int_restaurant_metrics(facts)
+
+
+def restaurants_ordered(mart: DataFrame) -> DataFrame:
+    return mart.orderBy(F.col("breach_rate").desc_nulls_last(), F.col("restaurant_id").asc_nulls_first())
 
 
 def refund_drivers(facts: DataFrame) -> DataFrame:
@@ -96,11 +98,11 @@ def refund_drivers(facts: DataFrame) -> DataFrame:
 
 
 def rider_performance(facts: DataFrame) -> DataFrame:
-    return (
-        int_rider_metrics(facts)
-        .withColumn("late_rate", C.ratio("late_orders", "total_orders"))
-        .orderBy(F.col("total_orders").desc(), F.col("rider_id").asc())
-    )
+    return int_rider_metrics(facts).withColumn("late_rate", C.ratio("late_orders", "total_orders"))
+
+
+def riders_ordered(mart: DataFrame) -> DataFrame:
+    return mart.orderBy(F.col("total_orders").desc(), F.col("rider_id").asc())
 
 
 def weekly_trends(facts: DataFrame) -> DataFrame:
@@ -111,12 +113,15 @@ def weekly_trends(facts: DataFrame) -> DataFrame:
             _sum_int("delivery_success_flag").alias("completed_orders"),
             _sum_int("has_refund_flag").alias("refunded_orders"),
             _sum_int("sla_breach_flag").alias("breached_orders"),
-            C.cents_sum("refund_amount").alias("total_refund_amount"),
+            C.money_sum("refund_amount").alias("total_refund_amount"),
         )
-        .orderBy(F.col("week").asc_nulls_first())
     )
 
 
+def weeks_ordered(mart: DataFrame) -> DataFrame:
+    return mart.orderBy(F.col("week").asc_nulls_first())
+
+
 # -- reports on the marts --------------------------------------------------------------
 def breach_by_city(sla: DataFrame) -> DataFrame:
     """Unweighted mean of the slot breach rates per city, highest first."""

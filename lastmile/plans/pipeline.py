@@ -7,8 +7,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lastmile.plans import marts as M
 from lastmile.plans import silver as S
@@ -100,6 +102,31 @@ def run_marts(spark: SparkSession, silver: dict[str, str], out_dir: str) -> dict
     )
 
 
+# Column that must not be NULL in each written mart.
+NOT_NULL = {
+    "01_SLA_breach_analysis": "city",
+    "02_restaurants_prep_delay": "restaurant_id",
+    "03_refund_drivers": "refund_reason",
+    "04_riders_performance": "rider_id",
+    "05_weekly_trends": "week",
+}
+
+
+def check_marts(spark: SparkSession, marts: dict[str, str]) -> dict[str, int]:
+    """NULLs per tested column of the written marts; raises if there are any."""
+    reports = [
+        spark.read.parquet(path).agg(F.count(F.when(F.col(NOT_NULL[name]).isNull(), 1)).alias("n")).select(
+            F.lit(name).alias("mart"), "n"
+        )
+        for name, path in marts.items()
+    ]
+    found = {r["mart"]: r["n"] for r in reduce(DataFrame.unionByName, reports).collect()}
+    failed = {f"{name}.{NOT_NULL[name]}": n for name, n in found.items() if n}
+    if failed:
+        raise ValueError(f"NULLs in written marts: {failed}")
+    return found
+
+
 def export_marts(spark: SparkSession, marts: dict[str, str], out_dir: str) -> dict[str, str]:
     return _in_parallel(
         {
@@ -118,5 +145,6 @@ def run_pipeline(
     bronze = run_bronze(t, out_dir)
     silver = run_silver(spark, bronze, out_dir, orders_partition_by)
     marts = run_marts(spark, silver, out_dir)
+    check_marts(spark, marts)
     exported = export_marts(spark, marts, out_dir)
     return {"bronze": bronze, "silver": silver, "marts": marts, "warehouse": exported}

@@ -167,15 +167,13 @@ def timeline_from_first_events(firsts: DataFrame) -> DataFrame:
     )
 
 
-def delivery_timeline(events: DataFrame, rider_from_all_types: bool = False) -> DataFrame:
+def delivery_timeline(events: DataFrame, rider_from_all_types: bool = True) -> DataFrame:
     """One row per order: the lifecycle timestamps of the first event of each type, the
     rider of the latest of those events, waits in minutes and the delivery status.
 
-    Dedupe, pivot and rider choice are one aggregation on ``order_id`` (partial before the
-    shuffle, final after it) instead of a window, a pivot and a second window joined back.
-    Event types other than the three lifecycle types are ignored, unless
-    ``rider_from_all_types``: then the first event of every type competes for the rider
-    (as a dedupe over all types would have it), at the cost of a second aggregation.
+    The first event of every type competes for the rider. With ``rider_from_all_types``
+    false only the three lifecycle types do; dedupe, pivot and rider choice are then one
+    aggregation on ``order_id`` (partial before the shuffle, final after it).
     """
     if rider_from_all_types:
         return _timeline_all_types(events)
@@ -216,20 +214,11 @@ def _timeline_all_types(events: DataFrame) -> DataFrame:
     )
 
 
-def latest_rider(events: DataFrame) -> DataFrame:
-    """order_id -> rider of its latest deduplicated event with a rider."""
-    return (
-        delivery_timeline(events)
-        .filter(F.col("rider_id").isNotNull())
-        .select("order_id", "rider_id")
-    )
-
-
 # -- refunds ---------------------------------------------------------------------------
 def refund_agg(refunds: DataFrame) -> DataFrame:
-    """Refund total per order (exact in cents) and a constant has-refund flag."""
+    """Refund total per order (exact) and a constant has-refund flag."""
     return refunds.groupBy("order_id").agg(
-        C.cents_sum("refund_amount").alias("refund_amount"),
+        C.money_sum("refund_amount").alias("refund_amount"),
         F.lit(1).alias("has_refund_flag"),
     )
 

@@ -19,9 +19,7 @@ from lastmile.plans import documented as D
 from lastmile.plans import marts as M
 from lastmile.plans import profiling as P
 from lastmile.plans import silver as S
-from lastmile.session import ensure_checkpoint_dir, session_key
-from lastmile.operators.joins import clear_broadcast_decisions
-from lastmile.sources.tables import Tables, clear_schemas
+from lastmile.sources.tables import Tables
 from lastmile.streaming.timeline import stream_timeline_from_tables
 
 
@@ -34,7 +32,6 @@ class Model:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.t = Tables(spark, sf_dir)
-        self.built: dict[str, DataFrame] = {}
 
     @cached_property
     def bronze_orders(self) -> DataFrame:
@@ -88,40 +85,32 @@ class Model:
     def doc_weekly(self) -> DataFrame:
         return D.doc_weekly(self.facts)
 
-    def stg_orders(self) -> DataFrame:
-        """Staging is a pass-through view over the silver orders."""
-        self.silver_orders.createOrReplaceTempView("stg_orders")
-        return self.spark.table("stg_orders")
+    def staging(self, name: str, model: DataFrame) -> DataFrame:
+        """Staging is a pass-through view over a silver model."""
+        model.createOrReplaceTempView(name)
+        return self.spark.table(name)
 
 
 def _distribution(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("total_orders"))
 
 
-# Fact columns the three tested marts read.
-_MART_TEST_COLUMNS = (
-    "order_id city order_hour actual_delivery_minutes delay_minutes sla_breach_flag "
-    "prep_delay_minutes rider_id delivery_success_flag order_date has_refund_flag refund_amount"
-).split()
-
-
 def _not_null_marts(m: Model) -> DataFrame:
-    """The three not-null tests over their marts. The marts share one facts computation:
-    the columns they read are checkpointed once (three branches would otherwise each
-    recompute the event join and the order dedupe)."""
-    ensure_checkpoint_dir(m.spark)
-    facts = m.facts.select(*_MART_TEST_COLUMNS).checkpoint(eager=True)
+    """The three not-null tests over their marts, each a plan of its own that reads only
+    the fact columns its mart needs."""
     return (
-        P.dq_not_null_sla_city(M.sla_breach(facts))
-        .unionByName(P.dq_not_null_rider_id(M.rider_performance(facts)))
-        .unionByName(P.dq_not_null_week(M.weekly_trends(facts)))
+        P.dq_not_null_sla_city(m.sla)
+        .unionByName(P.dq_not_null_rider_id(m.riders_mart))
+        .unionByName(P.dq_not_null_week(m.weekly))
     )
 
 
 # name -> builder over the Model. Code-defined model first, then the documented one.
 _QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     # sources, bronze, dedupe
-    "stg_orders": lambda m: m.stg_orders(),
+    "stg_orders": lambda m: m.staging("stg_orders", m.silver_orders),
+    "stg_order_facts": lambda m: m.staging("stg_order_facts", m.facts),
+    "stg_delivery_timeline": lambda m: m.staging("stg_delivery_timeline", m.timeline),
     "preview_limit": lambda m: P.preview(m.bronze_orders, ["order_id", "ingestion_ts"], 5),
     "bronze_orders": lambda m: m.bronze_orders,
     "bronze_delivery_events": lambda m: B.bronze(m.t, "delivery_events", LOAD_BATCH_TS),
@@ -141,6 +130,7 @@ _QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     "order_value_bucket": lambda m: _distribution(m.silver_orders, "order_value_bucket"),
     "delivery_timeline": lambda m: m.timeline,
     "delivery_timeline_all_types": lambda m: S.delivery_timeline(m.t.events, rider_from_all_types=True),
+    "delivery_timeline_lifecycle": lambda m: S.delivery_timeline(m.t.events, rider_from_all_types=False),
     "order_facts": lambda m: m.facts,
     "stream_delivery_timeline": lambda m: stream_timeline_from_tables(m.spark, m.t.sf_dir),
     # intermediate + marts
@@ -149,10 +139,10 @@ _QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     "int_restaurant_metrics": lambda m: M.int_restaurant_metrics(m.facts),
     "int_rider_metrics": lambda m: M.int_rider_metrics(m.facts),
     "sla_breach": lambda m: m.sla,
-    "restaurant_prep_delay": lambda m: m.restaurants_mart,
+    "restaurant_prep_delay": lambda m: M.restaurants_ordered(m.restaurants_mart),
     "refund_drivers": lambda m: m.refunds_mart,
-    "rider_performance": lambda m: m.riders_mart,
-    "weekly_trends": lambda m: m.weekly,
+    "rider_performance": lambda m: M.riders_ordered(m.riders_mart),
+    "weekly_trends": lambda m: M.weeks_ordered(m.weekly),
     # reports on the marts
     "breach_by_city": lambda m: M.breach_by_city(m.sla),
     "breach_by_slot": lambda m: M.breach_by_slot(m.sla),
@@ -193,48 +183,36 @@ _QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     "doc_weekly_wow": lambda m: D.doc_weekly_wow(m.doc_weekly),
     "doc_dim_restaurants": lambda m: D.doc_dim_restaurants(m.t.restaurants),
     "doc_dim_riders": lambda m: D.doc_dim_riders(m.t.riders, m.t.events),
-    "doc_dim_date": lambda m: D.doc_dim_date(m.silver_orders),
+    "doc_order_refunds": lambda m: D.doc_order_refunds(m.doc_orders, m.t.refunds),
+    "doc_stg_events": lambda m: D.doc_stg_events(m.t.events, m.bronze_orders),
+    "doc_event_flags": lambda m: D.doc_event_flags(m.t.events, m.bronze_orders),
+    "doc_delivery_minutes": lambda m: D.doc_delivery_minutes(m.facts),
+    "doc_dim_date": lambda m: D.doc_dim_date(m.bronze_orders),
 }
 
 FLAGSHIP = "sla_breach"
 
-# Queries that do work when built (a streaming run, a checkpoint): rebuilt on every call,
-# so each call really runs them. Every other plan is built once per model and re-executed.
-_BUILD_EACH_TIME = {"stream_delivery_timeline", "doc_rider_score", "dq_not_null_marts"}
-
-
 def query_names() -> list[str]:
     return list(_QUERIES)
 
 
-# Plans (not results) built in this process, per (application, sf_dir). A DataFrame is a
-# lazy plan: every action re-reads the files and recomputes, so reusing the plan objects
-# only saves the driver-side construction (thousands of JVM calls per plan).
-_MODELS: dict[tuple[str, str], Model] = {}
+# Settings the plans rely on in whatever session they are built: no broadcast from size
+# estimates (only behind a measured bound), and hot join keys split even before an aggregation.
+_SESSION_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
 
 
 def model_for(spark: SparkSession, sf_dir: str) -> Model:
-    key = (session_key(spark), sf_dir.rstrip("/"))
-    if key not in _MODELS:
-        _MODELS[key] = Model(spark, sf_dir)
-    return _MODELS[key]
-
-
-def clear_plans() -> None:
-    """Forget memoized plans, footer schemas and broadcast decisions (e.g. after the input
-    files were replaced)."""
-    _MODELS.clear()
-    clear_schemas()
-    clear_broadcast_decisions()
+    """A new model: it lists the files and reads the schemas as they are now."""
+    for key, value in _SESSION_CONF.items():
+        spark.conf.set(key, value)
+    return Model(spark, sf_dir)
 
 
 def build(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = model_for(spark, sf_dir)
-    if name in _BUILD_EACH_TIME:
-        return _QUERIES[name](model)
-    if name not in model.built:
-        model.built[name] = _QUERIES[name](model)
-    return model.built[name]
+    return _QUERIES[name](model_for(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

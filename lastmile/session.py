@@ -63,29 +63,31 @@ def get_session(
     return spark
 
 
-def session_key(spark: SparkSession) -> str:
-    """Identity of the running application, for per-session memos."""
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # sessions without a local SparkContext (Spark Connect)
-        return f"session-{id(spark)}"
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint directory, creating a private one only if unset.
+    """The shared folder for intermediate data: ``spark.checkpoint.dir``.
 
-    On a cluster ``spark.checkpoint.dir`` names shared storage and is used as is.
+    Only a local master gets a private folder where the setting is missing (tests, laptops);
+    on a cluster executors could not read it, so that is an error.
     """
     try:
         sc = spark.sparkContext
-    except Exception:  # Spark Connect: the server's configuration applies
-        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lastmile-ckpt-")
+    except Exception:  # Spark Connect: only the setting counts
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
-    path = configured or tempfile.mkdtemp(prefix="lastmile-ckpt-")
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not path:
+        if not is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        path = tempfile.mkdtemp(prefix="lastmile-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+def is_local(master: str) -> bool:
+    """True if driver and executors are one process."""
+    return master == "local" or master.startswith("local[")

@@ -59,9 +59,23 @@ def test_ratio_zero_denominator_is_null(spark):
     assert [r[0] for r in df.select(C.ratio("n", "d")).collect()] == [None, 0.25]
 
 
-def test_cents_sum_is_exact(spark):
-    df = spark.createDataFrame([(0.1,), (0.2,), (0.3,)], "x double")
-    assert df.agg(C.cents_sum("x")).first()[0] == 0.6
+def test_money_sum_cuts_nothing(spark):
+    def total(values):
+        return spark.createDataFrame([(v,) for v in values], "x double").agg(C.money_sum("x")).first()[0]
+
+    assert total([0.1, 0.2, 0.3]) == 0.6
+    assert total([0.004] * 3) == 0.012
+    assert total([1e17, 0.25]) == 1e17
+    assert total([1e30, 1.0]) == 1e30
+    assert total([None, 0.5]) == 0.5 and total([None]) is None
+
+
+def test_exact_minutes_keep_the_fraction(spark):
+    df = spark.createDataFrame(
+        [(dt.datetime(2024, 1, 1, 10, 0, 0, 900000), dt.datetime(2024, 1, 1, 10, 1, 2, 100000)), (None, None)],
+        "a timestamp_ntz, b timestamp_ntz",
+    )
+    assert [r[0] for r in df.select(C.exact_minutes_between("a", "b")).collect()] == [61.2 / 60, None]
 
 
 def test_doc_time_slot(spark):

@@ -14,9 +14,9 @@ sys.path.insert(0, os.path.join(ROOT, "scripts"))
 
 import __spark_entry__ as E  # noqa: E402
 from check_oracle import compare, register_tables  # noqa: E402
-from lastmile.registry import model_for  # noqa: E402
+from lastmile.registry import model_for, query_names  # noqa: E402
 
-NAMES = sorted(E.queries())
+NAMES = sorted(query_names())
 
 
 @pytest.fixture(scope="module")
@@ -27,7 +27,7 @@ def con():
 
 
 def test_every_query_has_oracle_sql():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(query_names()) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
