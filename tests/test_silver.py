@@ -186,14 +186,19 @@ order_rows = st.lists(
 def test_keep_latest_matches_brute_force(spark, rows):
     from lastmile.operators.dedup import keep_latest
 
-    df = spark.createDataFrame(rows, "k long, ts long, a long, b long").repartition(2)
-    got = sorted(tuple(r) for r in keep_latest(df, ["k"], "ts").collect())
-    best = {}
+    # Ties on the time go by a hash of the other columns: any of the tied rows, but the same one
+    # however the rows are ordered and dealt out.
+    schema = "k long, ts long, a long, b long"
+    df = spark.createDataFrame(rows, schema).repartition(2)
+    got = sorted((tuple(r) for r in keep_latest(df, ["k"], "ts").collect()), key=str)
+    again = spark.createDataFrame(rows[::-1], schema).repartition(3)
+    assert got == sorted((tuple(r) for r in keep_latest(again, ["k"], "ts").collect()), key=str)
+    latest = {}
     for r in rows:
-        key = (_desc_key(r[1]), _desc_key(r[2]), _desc_key(r[3]))
-        if r[0] not in best or key > best[r[0]][0]:
-            best[r[0]] = (key, r)
-    assert got == sorted(v[1] for v in best.values())
+        latest[r[0]] = max(latest.get(r[0], (False, 0)), (r[1] is not None, r[1] or 0))
+    assert sorted(r[0] for r in got) == sorted(latest)
+    for r in got:
+        assert r in rows and (r[1] is not None, r[1] or 0) == latest[r[0]]
 
 
 TYPES_PLUS = TYPES + ["CANCELLED", "ARRIVED"]
