@@ -113,8 +113,14 @@ def word_windows(hashes: np.ndarray, n: int) -> np.ndarray:
 
 
 def with_fields(df: DataFrame, passed: tuple[str, ...], more: str) -> T.StructType:
-    """The schema of the passed columns of ``df``, followed by the fields of ``more`` (DDL)."""
-    return T.StructType([*[df.schema[c] for c in passed], *T.StructType.fromDDL(more).fields])
+    """The schema of the passed columns of ``df``, followed by the fields of ``more`` (DDL).
+
+    A passed column must not be named like one of those; such a name is an error.
+    """
+    fields = T.StructType.fromDDL(more).fields
+    if clash := {f.name for f in fields} & set(passed):
+        raise ValueError(f"passed columns named like results: {sorted(clash)}")
+    return T.StructType([*[df.schema[c] for c in passed], *fields])
 
 
 def crc_remainder(doc_id: str | Column, modulus: int) -> Column:

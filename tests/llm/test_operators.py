@@ -4,6 +4,7 @@ import math
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from lastmile.llm import langid, licenses, minmax_dedup, mixing, packing, ppm, qalsh, quality, subspace_dedup, textops, toxicity
@@ -93,8 +94,10 @@ def test_language_held_out_accuracy(spark):
 def test_toxicity(odd_docs, no_docs, labels, no_labels):
     fold = crc_remainder("doc_id", 5)
     for docs, marks in ((odd_docs, labels), (odd_docs, no_labels), (no_docs, labels)):
-        rows = toxicity.score(docs, marks, fold.isin(1, 2, 3), fold == 4, passed=("doc_id", "score")).toDF("doc_id", "given", "p").collect()
-        assert len(rows) == docs.count() and all(0 <= r.p <= 1 for r in rows)
+        rows = toxicity.score(docs, marks, fold.isin(1, 2, 3), fold == 4, passed=("doc_id",)).collect()
+        assert len(rows) == docs.count() and all(0 <= r.score <= 1 for r in rows)
+    with pytest.raises(ValueError):
+        toxicity.score(odd_docs, labels, fold == 1, fold == 4, passed=("score",))
 
 
 def test_toxicity_finds_planted_words(spark):
