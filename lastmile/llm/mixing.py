@@ -191,9 +191,11 @@ def rates(
         none = F.array().cast("array<double>")
         out = docs.withColumn("__t", F.lit(0.0)).withColumn("__p", none).withColumn("rate", F.lit(1.0))
     else:
-        slim = written(model.posteriors(docs.select("text")).select("__t", "__p"), "mixing-posteriors")
-        steps = solve(slim, model.domains, targets)
-        out = model.posteriors(docs).withColumn("rate", _rate(steps))
+        # Written with the rows: the classifier runs once, and the plans of the steps and of the
+        # rates stay small.
+        scored = written(model.posteriors(docs), "mixing-posteriors")
+        steps = solve(scored.select("__t", "__p"), model.domains, targets)
+        out = scored.withColumn("rate", _rate(steps))
     part = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("mixing")), F.lit(1 << 40)) / float(1 << 40)
     whole = F.floor("rate")
     return out.withColumn("copies", (whole + (part < F.col("rate") - whole).cast("int")).cast("int"))
