@@ -78,12 +78,12 @@ def bands(signatures: np.ndarray) -> np.ndarray:
     return out
 
 
-_FEATURES = "doc_id bigint, n_shingles bigint, key binary, bands array<bigint>"
+_FEATURES = "row bigint, doc_id bigint, mark bigint, n_shingles bigint, key binary, bands array<bigint>"
 
 
 def _features(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = utf8(batch.column(1))
+        texts = utf8(batch.column(3))
         size, keys = np.zeros(len(texts), dtype=np.int64), [None] * len(texts)
         sigs = np.zeros((len(texts), 2 * PERMUTATIONS), dtype=np.uint32)
         for first, docs in chunks(texts):
@@ -100,8 +100,8 @@ def _features(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBa
             np.arange(0, len(flat) + 1, BANDS, dtype=np.int32), pa.array(flat)
         )
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(size), pa.array(keys, type=pa.binary()), listed],
-            names=["doc_id", "n_shingles", "key", "bands"],
+            [*[batch.column(i) for i in range(3)], pa.array(size), pa.array(keys, type=pa.binary()), listed],
+            names=["row", "doc_id", "mark", "n_shingles", "key", "bands"],
         )
 
 
@@ -192,8 +192,23 @@ def near_duplicates(
     stay repeated and share their component. A null doc_id takes part in links, but names no
     component unless it is alone (then null, kept). Other columns are not read.
     """
+    out = _grouped(docs.select("doc_id", "text", F.lit(0).alias("row")), shingle_words, similarity)
+    component = F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return out.select(
+        "doc_id", "n_shingles", component.alias("component_id"),
+        component.eqNullSafe(F.col("doc_id")).alias("kept"),
+    )
+
+
+def _grouped(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
+    """(row, doc_id, mark, n_shingles, component, component_id) for every row of ``docs`` (row, doc_id,
+    text). ``mark`` is a hash of the text; ``component`` is a class key, null without words."""
     part, whole = similarity
-    src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string")
+    src = docs.select(
+        F.col("row").cast("bigint").alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.xxhash64(text).alias("mark"), text.alias("text"),
+    )
     features = written(src.mapInArrow(lambda it: _features(it, shingle_words), _FEATURES), "minmax-features")
     classes = written(
         features.filter(F.col("key").isNotNull()).groupBy("key").agg(
@@ -259,31 +274,21 @@ def near_duplicates(
         "key", "doc_id", F.coalesce("component", "key").alias("component")
     )
     smallest = rooted.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named_classes = rooted.join(smallest, "component").select("key", "component_id")
-    out = features.select("doc_id", "n_shingles", "key").join(named_classes, "key", "left")
-    component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select(
-        "doc_id", "n_shingles", component.alias("component_id"),
-        component.eqNullSafe(F.col("doc_id")).alias("kept"),
-    )
+    named_classes = rooted.join(smallest, "component").select("key", "component", "component_id")
+    return features.select("row", "doc_id", "mark", "n_shingles", "key").join(named_classes, "key", "left").drop("key")
 
 
 def one_of_each(docs: DataFrame, **params) -> DataFrame:
-    """The rows of ``docs`` with all their columns, one document per component: the one with
-    the smallest doc_id. Rows repeated under one doc_id count once, except those without
-    words, which link with nothing and all stay."""
-    found = near_duplicates(docs, **params)
-    keep = written(found.filter("kept"), "minmax-kept")
-    out = docs.join(
-        keep.select(F.col("doc_id").alias("__kept_id")).distinct(),
-        F.col("doc_id").eqNullSafe(F.col("__kept_id")),
-        "left_semi",
-    )
-    repeated = keep.filter("n_shingles > 0").groupBy("doc_id").count().filter("count > 1").select(
-        F.col("doc_id").alias("__repeated_id")
-    )
-    if repeated.isEmpty():
-        return out
-    same = F.col("doc_id").eqNullSafe(F.col("__repeated_id"))
-    once = out.join(repeated, same, "left_semi").dropDuplicates(["doc_id"])
-    return out.join(repeated, same, "left_anti").unionByName(once)
+    """The rows of ``docs`` with all their columns, one row per component: the one with the
+    smallest doc_id (a null one comes last; of several rows under that doc_id the one of the
+    smallest text hash, then the first). Rows without words link with nothing and all stay."""
+    names = docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    # Rows are known by a written number: ids can be null or repeated.
+    rows = written(plain.withColumn("row", F.monotonically_increasing_id()), "minmax-rows")
+    doc_id, text = (F.col(f"c{names.index(n)}").alias(n) for n in ("doc_id", "text"))
+    found = written(_grouped(rows.select("row", doc_id, text), **params).drop("component_id"), "minmax-found")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark", "row")
+    first = found.filter("component is not null").groupBy("component").agg(F.min(order).alias("first"))
+    keep = first.select("first.row").unionByName(found.filter("component is null").select("row"))
+    return rows.join(keep, "row", "left_semi").select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])

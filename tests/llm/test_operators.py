@@ -66,6 +66,22 @@ def test_one_of_each_keeps_columns(odd_docs):
     assert sorted((r.doc_id or 0) for r in kept.select("doc_id").collect()) == [0, 1, 4, 5, 6, 7, 8, 10, 11]
 
 
+def test_one_of_each_decides_by_row(spark):
+    """Null and repeated ids: different texts all stay, copies go, whatever id they have."""
+    texts = [" ".join(f"{a}{j}" for j in range(60)) for a in "abcdef"]
+    rows = [
+        (None, texts[0]), (None, texts[1]), (None, None), (None, ""),
+        (7, texts[2]), (7, texts[3]), (7, texts[3]), (8, texts[2] + " tail"), (8, texts[4]),
+        (9, texts[5]), (None, texts[5]),
+    ]
+    got = minmax_dedup.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    named = [(r.doc_id, r.text) for r in got if r.doc_id is not None]
+    assert sorted(named) == [(7, texts[2]), (7, texts[3]), (8, texts[4]), (9, texts[5])]
+    loose = [r.text for r in got if r.doc_id is None and r.text]
+    assert sorted(loose) == texts[:2]
+    assert sum(r.doc_id is None and not r.text for r in got) == 2
+
+
 def test_cluster_links_do_not_need_the_centre(spark):
     """A chain whose ends are too far apart: neighbours link, the component spans it."""
     base = [f"t{i}" for i in range(200)]
