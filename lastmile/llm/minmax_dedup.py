@@ -212,8 +212,8 @@ def _grouped(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, similarity: tu
     features = written(src.mapInArrow(lambda it: _features(it, shingle_words), _FEATURES), "minmax-features")
     classes = written(
         features.filter(F.col("key").isNotNull()).groupBy("key").agg(
-            F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"),
-            F.first("bands").alias("bands"),
+            F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"),
+            F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")).alias("at"),
         ),
         "minmax-classes",
     )
@@ -226,10 +226,13 @@ def _grouped(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, similarity: tu
     )
     bucketed = written(rows.join(shared, "band"), "minmax-buckets")
 
-    # The sets of every class that shares a bucket, read again from the texts.
-    wanted = bucketed.select("key").distinct().join(classes.select("key", "doc_id"), "key")
+    # The sets of every class that shares a bucket, read again from the texts; a class is found by
+    # the id (which can be null) and the text hash of one of its rows.
+    wanted = bucketed.select("key").distinct().join(classes.select("key", "at"), "key").select(
+        F.col("at.doc_id").alias("at_id"), F.col("at.mark").alias("at_mark")
+    ).distinct()
     sets = written(
-        src.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
+        src.join(wanted, (F.col("mark") == F.col("at_mark")) & F.col("doc_id").eqNullSafe(F.col("at_id")), "left_semi")
         .select("text")
         .mapInArrow(lambda it: _sets(it, shingle_words), "key binary, shingles array<bigint>")
         .dropDuplicates(["key"]),

@@ -82,6 +82,20 @@ def test_one_of_each_decides_by_row(spark):
     assert sum(r.doc_id is None and not r.text for r in got) == 2
 
 
+def test_near_copies_without_ids_link(spark):
+    """Classes whose rows all have a null id take part in links, also as the middle of a chain."""
+    words = [f"t{i}" for i in range(200)]
+    chain = [" ".join(words[8 * k : 8 * k + 120]) for k in range(3)]
+    other = " ".join(f"o{i}" for i in range(120))
+    rows = [(1, chain[0]), (None, chain[1]), (3, chain[2]), (None, other), (None, other + " tail")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = minmax_dedup.near_duplicates(df).collect()
+    assert sorted((r.doc_id, r.component_id) for r in found if r.doc_id) == [(1, 1), (3, 1)]
+    assert sorted(str(r.component_id) for r in found if not r.doc_id) == ["1", "None", "None"]
+    kept = minmax_dedup.one_of_each(df).collect()
+    assert sorted((str(r.doc_id), r.text[:2]) for r in kept) == [("1", "t0"), ("None", "o0")]
+
+
 def test_cluster_links_do_not_need_the_centre(spark):
     """A chain whose ends are too far apart: neighbours link, the component spans it."""
     base = [f"t{i}" for i in range(200)]
