@@ -9,7 +9,7 @@ columns of ``documents``, with whatever further columns came in, whatever their
 2. toxicity: documents go whose toxicity score is 0.5 or more.
 3. near_dedup: one document of each group of near duplicates stays, the one of the smallest doc_id.
 4. mixing: documents are kept, left out or repeated so that the soft domains of the labels
-   table meet ``mixing.TARGETS``.
+   table meet ``TARGETS``, which ask for nothing of the domain that stage 2 rejects.
 5. packing: token sequences of 2048 that hold lexically similar documents together.
 
 A repeated input row (same doc_id and text) is a near duplicate of itself: stage 3 keeps it once.
@@ -25,6 +25,7 @@ from lastmile.llm.store import written
 from lastmile.llm.textops import crc_remainder
 
 MIN_LANGUAGE_SCORE = 0.3
+TARGETS = {d: share for d, share in mixing.TARGETS.items() if d != "toxic"}
 
 
 def _rows(docs: DataFrame, *needed: str) -> DataFrame:
@@ -62,7 +63,7 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mixed(docs, _labels(spark, sf_dir))
+    return mixing.mixed(docs, _labels(spark, sf_dir), TARGETS)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,3 +37,19 @@ def test_pipeline_stages(spark, odd_docs):
         seen.append(sorted((r.doc_id or 0) for r in docs.select("doc_id").collect()))
     assert not {4, 5, 6, 7} & set(seen[0])
     assert {1, 8, 10} <= set(seen[2]) and 2 not in seen[2] and 3 not in seen[2] and seen[2].count(1) == 1
+
+
+def test_mixing_stage_does_not_repeat_toxic(spark, tmp_dir):
+    """Toxic documents that stage 2 missed get no share of the mix."""
+    import corpus_pipeline as C
+
+    kind = ["toxic" if i % 50 == 0 else "low" if i % 10 == 1 else "good" for i in range(400)]
+    marked = {"toxic": " grub snark", "low": " zig zag zog", "good": ""}
+    words = [" ".join(f"v{(i * 7 + j * 13) % 50}" + "abcdefghij"[(i + j) % 10] for j in range(40)) for i in range(400)]
+    docs = spark.createDataFrame([(i, words[i] + marked[kind[i]]) for i in range(400)], "doc_id bigint, text string")
+    rows = [(i, int(kind[i] == "good"), int(kind[i] == "toxic")) for i in range(400)]
+    spark.createDataFrame(rows, "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_dir}/labels.parquet")
+    out = [r.doc_id for r in C.mixing_stage(spark, docs, tmp_dir).collect()]
+    toxic = [i for i in out if kind[i] == "toxic"]
+    assert len(toxic) == len(set(toxic)) and len(toxic) <= 2
+    assert len({i for i in out if kind[i] == "good"}) > 200
