@@ -141,6 +141,14 @@ def test_toxicity_finds_planted_words(spark):
     assert sum(a == b for a, b in held) >= 0.97 * len(held)
 
 
+def test_toxicity_unknown_words_are_no_evidence(spark):
+    """Also where one class has far fewer words than the other."""
+    rows = [(_plain(i) + (" grub" if i < 5 else ""), int(i < 5)) for i in range(100)]
+    model = toxicity._models(spark.createDataFrame(rows, "text string, toxic int"))
+    unseen = toxicity.evidence([b"quite different words " * 50], model)
+    assert np.abs(unseen).max() == 0 and toxicity.evidence([b"grub"], model)[0, 0] > 0
+
+
 def _plain(i):
     return " ".join(f"v{(i * 7 + j * 13) % 50}" + "abcdefghij"[(i + j) % 10] for j in range(40))
 
