@@ -1,17 +1,22 @@
 """Packing token sequences by lexical retrieval.
 
-A task takes its rows in batches of about ``SHARD_TOKENS`` tokens; a batch is one shard with a BM25
-inverted index of its own over the documents' distinct tokens. Packing goes window by window: the
-unused document of the smallest row is the seed of a window of ``WINDOW`` tokens; the index
-returns the unused documents by falling BM25 score for the seed's tokens (tokens in more than
-half of the shard's documents have no positive weight and no postings), and they fill the window
+Documents are encoded once and written with their row numbers. Document frequencies and lengths are
+counted over all of them. Each document is led by its ``LEADS`` tokens of highest frequency times
+inverse document frequency; documents are dealt by range and sorted by those, so documents that
+are about the same tokens lie side by side wherever they were read, and a common first
+token is divided by the next ones. About ``SHARD_TOKENS`` tokens of that order are a shard with a BM25
+inverted index (term frequencies of the shard, statistics of all documents). Packing goes window by
+window: the unused document of the smallest place is the seed of a window of ``WINDOW`` tokens; the
+index returns the unused documents by falling BM25 score for the seed's tokens (tokens in more than
+half of all documents have no positive weight and no postings), and they fill the window
 greedily, so related documents share it. The last one is cut where the window ends, and its rest
 begins the next window and is that one's seed. When nothing scores, unused documents follow in
 order. So every window of a shard is full but its last, which is split into powers of two, so no
 sequence needs padding.
 
-Nothing is shuffled: sequences are formed where the documents are read, and a shard is bounded
-by its token count (or one very long document). The number of a sequence holds its partition.
+A seed still asks its own shard only, not every document (the README has the measured share of
+true neighbours found). A shard is bounded by its token count (or one very long document). The
+number of a sequence holds its partition.
 
 Token ids are those of the tokenizer file, and 1 after each document.
 """
@@ -29,8 +34,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lastmile.llm.store import written
+
 WINDOW = 2048
 END = 1
+LEADS = 4
 SHARD_TOKENS = 1 << 20
 K1 = 1.2
 B = 0.75
@@ -67,49 +75,60 @@ class Encoder:
             tokenizer.encode_special_tokens = True
             self.ids = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
-    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """The ids with the end id, and the distinct ids."""
-        ids = np.array(self.ids(text) + [END] if text else [END], dtype=np.uint32)
-        return ids, np.unique(ids[:-1])
+    def encode(self, text: str) -> np.ndarray:
+        """The ids with the end id."""
+        return np.array(self.ids(text) + [END] if text else [END], dtype=np.uint32)
+
+
+def idf(df: np.ndarray, n: int) -> np.ndarray:
+    """Weight of tokens that ``df`` of ``n`` documents hold: 0 in more than half of them, or in one."""
+    weight = np.log((n - df + 0.5) / (df + 0.5))
+    weight[df < 2] = 0  # a word of one document finds nobody
+    return np.maximum(weight, 0)
 
 
 class Index:
-    """BM25 over the distinct words of a shard's documents (term frequency 1)."""
+    """BM25 over a shard's documents: distinct tokens and, if given, how often they occur (else
+    once), with the weights by token and the mean length of all documents (else of the shard)."""
 
-    def __init__(self, terms: list[np.ndarray], lengths: np.ndarray):
+    def __init__(
+        self, terms: list[np.ndarray], lengths: np.ndarray, counts: list[np.ndarray] | None = None,
+        weight: np.ndarray | None = None, mean: float | None = None,
+    ):
         n = len(terms)
         doc = np.repeat(np.arange(n, dtype=np.int32), [len(t) for t in terms])
         word = np.concatenate(terms) if n else np.zeros(0, dtype=np.int64)
+        tf = np.concatenate(counts).astype(np.float64) if counts else np.ones(len(word))
         names, inverse, df = np.unique(word, return_inverse=True, return_counts=True)
-        weight = np.log((n - df + 0.5) / (df + 0.5))
-        weight[df < 2] = 0  # a word of one document finds nobody
-        self.weight = np.maximum(weight, 0)
+        self.weight = idf(df, n) if weight is None else weight[names]
         useful = self.weight[inverse] > 0
-        doc, inverse = doc[useful], inverse[useful]
+        doc, inverse, tf = doc[useful], inverse[useful], tf[useful]
+        if mean is None:
+            mean = lengths.mean() if n else 1.0
+        tf = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[doc] / max(mean, 1e-9)))
         order = np.argsort(inverse, kind="stable")
-        self.posting = doc[order]
+        self.posting, self.tf = doc[order], tf[order]
         self.starts = np.searchsorted(inverse[order], np.arange(len(names) + 1))
         order = np.argsort(doc, kind="stable")
         self.term = inverse[order]
         self.term_starts = np.searchsorted(doc[order], np.arange(n + 1))
-        mean = lengths.mean() if n else 1.0
-        self.saturation = (K1 + 1) / (1 + K1 * (1 - B + B * lengths / max(mean, 1e-9)))
+        self.n = n
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 scores of all documents for the seed's words."""
         words = self.term[self.term_starts[seed] : self.term_starts[seed + 1]]
-        n = len(self.saturation)
         if not len(words):
-            return np.zeros(n)
+            return np.zeros(self.n)
         a, b = self.starts[words], self.starts[words + 1]
         size = b - a
         at = np.arange(int(size.sum())) + np.repeat(a - (np.cumsum(size) - size), size)
-        return np.bincount(self.posting[at], np.repeat(self.weight[words], size), n) * self.saturation
+        return np.bincount(self.posting[at], np.repeat(self.weight[words], size) * self.tf[at], self.n)
 
 
-def pack(lengths: np.ndarray, terms: list[np.ndarray]) -> list[list[tuple[int, int, int]]]:
+def pack(lengths: np.ndarray, terms: list[np.ndarray], index: Index | None = None) -> list[list[tuple[int, int, int]]]:
     """Sequences of pieces (document, start, length) of one shard."""
-    index = Index(terms, np.array([max(len(t), 1) for t in terms], dtype=np.float64))
+    if index is None:
+        index = Index(terms, np.array([max(len(t), 1) for t in terms], dtype=np.float64))
     unused = np.ones(len(lengths), dtype=bool)
     first, rest = 0, None  # rest: (document, tokens already placed)
     sequences: list[list[tuple[int, int, int]]] = []
@@ -180,6 +199,45 @@ _SCHEMA = "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, seq
 _COLUMNS = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
 
+def _documents(column: pa.Array) -> list[np.ndarray]:
+    flat, at = column.flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(column.value_lengths().to_numpy())))
+    return [flat[a:b] for a, b in zip(at[:-1], at[1:])]
+
+
+def _statistics(encoded: DataFrame) -> tuple[np.ndarray, float, int]:
+    """Weight by token, mean length and tokens of all documents (one number a token of the vocabulary)."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, df, total = 0, np.zeros(1, dtype=np.int64), 0
+        for batch in batches:
+            for ids in _documents(batch.column(0)):
+                words = np.unique(ids[:-1])
+                if len(words):
+                    if words[-1] >= len(df):
+                        df = np.concatenate((df, np.zeros(2 * int(words[-1]) + 1 - len(df), dtype=np.int64)))
+                    df[words] += 1
+                n, total = n + 1, total + len(ids)
+        held = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(([-2, -1], held))), pa.array(np.concatenate(([n, total], df[held])))], names=["token", "n"]
+        )
+
+    found = encoded.select("ids").mapInArrow(count, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n")).toArrow()
+    token, number = found.column("token").to_numpy(), found.column("n").to_numpy()
+    n, total = (int(number[token == x].sum()) for x in (-2, -1))
+    df = np.zeros(max(token.max(initial=0), 0) + 1, dtype=np.int64)
+    df[token[token >= 0]] = number[token >= 0]
+    return np.stack((idf(df, n), df)), max((total - n) / n, 1.0) if n else 1.0, total
+
+
+def leads(words: np.ndarray, counts: np.ndarray, weight: np.ndarray, df: np.ndarray) -> list[int]:
+    """The tokens that say most about a document, each after its document frequency's rank: how
+    many hold the first one, then the tokens; -1 where there are no more."""
+    value = weight[words] * counts
+    best = words[np.lexsort((words, -value))][: min(LEADS, int((value > 0).sum()))]
+    return [int(df[best[0]]) if len(best) else -1, *map(int, best), *[-1] * (LEADS - len(best))]
+
+
 def packed(docs: DataFrame, path: str | None = None, with_ids: bool = False) -> DataFrame:
     """A row per piece of every row of ``docs`` (doc_id, text): doc_id, start, length, ids_crc32,
     doc_tokens, sequence_id, offset, and with ``with_ids`` the piece's ids.
@@ -189,23 +247,50 @@ def packed(docs: DataFrame, path: str | None = None, with_ids: bool = False) ->
     is the tokenizer file, which every executor must have (default: the installed one).
     """
     place = path or tokenizer_path()
+    spark = docs.sparkSession
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(place)
+        for batch in batches:
+            ids = [encoder.encode(text or "") for text in batch.column(2).to_pylist()]
+            at = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int32)
+            flat = pa.array(np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.ListArray.from_arrays(at, flat)], names=["row", "doc_id", "ids"]
+            )
+
+    src = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.col("text").cast("string").alias("text"),
+    )
+    encoded = written(src.mapInArrow(encode, "row bigint, doc_id bigint, ids array<int>"), "packing-ids")
+    table, mean, total = _statistics(encoded)
+    model = spark.sparkContext.broadcast(table)
+
+    def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weight, df = model.value
+        for batch in batches:
+            found = [leads(*np.unique(ids[:-1], return_counts=True), weight, df) for ids in _documents(batch.column(2))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, type=pa.list_(pa.int32()))], names=["row", "doc_id", "ids", "lead"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, partition, sequence = Encoder(place), TaskContext.get().partitionId(), 0
+        partition, sequence = TaskContext.get().partitionId(), 0
         held_rows: list = []
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        total = 0
+        held: list[np.ndarray] = []
+        size = 0
 
         def flush() -> pa.RecordBatch:
             nonlocal sequence
-            lengths = np.array([len(h[0]) for h in held], dtype=np.int64)
+            lengths = np.array([len(h) for h in held], dtype=np.int64)
+            terms, counts = zip(*[np.unique(h[:-1], return_counts=True) for h in held])
+            index = Index(list(terms), np.maximum(lengths - 1, 1).astype(np.float64), list(counts), model.value[0], mean)
             out: list[tuple] = []
             pieces = []
-            for window in pack(lengths, [h[1] for h in held]):
+            for window in pack(lengths, list(terms), index):
                 number, offset = (partition << 36) + sequence, 0
                 sequence += 1
                 for d, start, n in window:
-                    ids = held[d][0][start : start + n]
+                    ids = held[d][start : start + n]
                     out.append((held_rows[d], start, n, zlib.crc32(ids.astype("<u4").tobytes()), int(lengths[d]), number, offset))
                     if with_ids:
                         pieces.append(ids.astype(np.int64))
@@ -216,16 +301,18 @@ def packed(docs: DataFrame, path: str | None = None, with_ids: bool = False) ->
             return pa.RecordBatch.from_arrays(columns, names=["doc_id", *_COLUMNS, *["ids"] * with_ids])
 
         for batch in batches:
-            rows, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for row, text in zip(rows, texts):
+            for row, ids in zip(batch.column(0).to_pylist(), _documents(batch.column(1))):
                 held_rows.append(row)
-                held.append(encoder.encode(text or ""))
-                total += len(held[-1][0])
-                if total >= SHARD_TOKENS:
+                held.append(ids.copy())
+                size += len(ids)
+                if size >= SHARD_TOKENS:
                     yield flush()
-                    held_rows, held, total = [], [], 0
+                    held_rows, held, size = [], [], 0
         if held:
             yield flush()
 
-    src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return src.mapInArrow(run, f"doc_id bigint, {_SCHEMA}" + (", ids array<bigint>" if with_ids else ""))
+    led = encoded.mapInArrow(lead, "row bigint, doc_id bigint, ids array<int>, lead array<int>")
+    order = [*[F.get("lead", F.lit(i)) for i in range(LEADS + 1)], F.xxhash64("ids"), F.col("doc_id"), F.col("row")]
+    # Whole shards, so that what lies side by side is cut as seldom as can be.
+    dealt = led.repartitionByRange(max(1, total // SHARD_TOKENS), *order).sortWithinPartitions(*order)
+    return dealt.select("doc_id", "ids").mapInArrow(run, f"doc_id bigint, {_SCHEMA}" + (", ids array<bigint>" if with_ids else ""))

@@ -210,6 +210,26 @@ def test_packing_takes_lexical_neighbours():
     assert {d for d, _, _ in windows[0]} == {0, 2} and {d for d, _, _ in windows[1]} == {1, 3}
 
 
+def test_packing_finds_neighbours_in_other_partitions(spark):
+    """Related documents share sequences though every one is read in another partition."""
+    kinds = [" ".join(f"{k}{j}" for j in range(12)) for k in ("alpha", "beta", "gamma", "delta")]
+    rows = [(i, f"{kinds[i % 4]} " * 12 + f"end {i}") for i in range(48)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(12, "doc_id")
+    pieces = packing.packed(df).collect()
+    assert {p.doc_id for p in pieces} == set(range(48)) and sum(p.length for p in pieces) == sum({p.doc_id: p.doc_tokens for p in pieces}.values())
+    by = {}
+    for p in pieces:
+        by.setdefault(p.sequence_id, []).append(p.doc_id)
+    pairs = [a % 4 == b % 4 for group in by.values() for a in group for b in group if a != b]
+    assert sum(pairs) >= 0.6 * len(pairs)
+
+
+def test_packing_counts_term_frequency():
+    terms = [np.array([1]), np.array([1, 2]), np.array([1, 3])]
+    index = packing.Index(terms, np.array([4.0, 4, 4]), [np.array([4]), np.array([1, 3]), np.array([3, 1])], np.ones(4), 4.0)
+    assert index.scores(0)[2] > index.scores(0)[1] > 0
+
+
 def _ppm_brute(texts, train, order=ppm.ORDER):
     trie = {}
     for t, use in zip(texts, train):
