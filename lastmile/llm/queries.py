@@ -11,7 +11,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lastmile.llm import langid, licenses, minmax_dedup, mixing, packing, ppm, qalsh, quality, subspace_dedup, toxicity
+from lastmile.llm import (
+    langid,
+    licenses,
+    merkle,
+    minmax_dedup,
+    mixing,
+    nra,
+    packing,
+    ppm,
+    qalsh,
+    quality,
+    subspace_dedup,
+    substring,
+    toxicity,
+)
 from lastmile.llm.textops import crc_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +94,18 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(docs, passed=("doc_id",)).drop("places")
 
 
+def op11_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.without_repeats(_table(spark, sf_dir, "documents")).drop("removed")
+
+
+def op12_postorder_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(_table(spark, sf_dir, "documents"))
+
+
+def op13_nra_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nra.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_gam": op1_quality_gam,
     "op2_bm25_packing": op2_bm25_packing,
@@ -91,6 +117,9 @@ QUERIES: dict[str, Query] = {
     "op8_soft_mixing": op8_soft_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_license_scan": op10_license_scan,
+    "op11_seed_extend": op11_seed_extend,
+    "op12_postorder_manifest": op12_postorder_manifest,
+    "op13_nra_search": op13_nra_search,
 }
 
 

@@ -24,6 +24,8 @@ _SEP = b"\n"
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+# ASCII bytes other than digits and letters: what stands between the terms of a search.
+NO_TERM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _BYTE_VALUE = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
@@ -70,18 +72,20 @@ def chunks(texts: list[bytes], size: int = CHUNK) -> Iterator[tuple[int, list[by
 
 
 class Words:
-    """The lower-cased words of the documents of one chunk.
+    """The words of the documents of one chunk, A-Z lower-cased unless ``lower`` is false.
 
     ``hashes``: uint64 per word, in order; document ``d`` has words
     ``offsets[d]:offsets[d + 1]``; ``starts``/``ends`` are byte places in ``data``.
+    ``space`` says which bytes stand between words (the line feed must).
     """
 
-    def __init__(self, docs: list[bytes]):
-        raw = _SEP.join(docs).lower() + _SEP
+    def __init__(self, docs: list[bytes], lower: bool = True, space: np.ndarray = _SPACE):
+        raw = _SEP.join(docs) + _SEP
+        raw = raw.lower() if lower else raw
         self.data = a = np.frombuffer(raw, dtype=np.uint8)
         lengths = np.fromiter(map(len, docs), dtype=np.int64, count=len(docs)) + 1
         self.doc_starts = np.concatenate(([0], np.cumsum(lengths)))
-        space = _SPACE[a]
+        space = space[a]
         edges = np.flatnonzero(space[1:] != space[:-1]) + 1
         if not space[0]:
             edges = np.concatenate(([0], edges))

@@ -22,8 +22,8 @@ def test_query_matches_oracle(spark, name):
     assert result["status"] == "ok", result["issues"]
 
 
-def test_ten_operators():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 11))
+def test_all_operators():
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 14))
 
 
 def test_pipeline_stages(spark, odd_docs):
