@@ -18,9 +18,23 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet below the shared folder, read back."""
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, name: str, drop_shuffles: bool = False) -> DataFrame:
+    """``df`` written once as Parquet below the shared folder, read back.
+
+    ``drop_shuffles`` lets Spark delete the shuffle files of this write as soon as it is done;
+    ``df`` itself is then not to be run again.
+    """
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    if drop_shuffles:
+        spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if drop_shuffles:
+            spark.conf.set(_CLEANUP, before) if before is not None else spark.conf.unset(_CLEANUP)
     return spark.read.schema(df.schema).parquet(path)

@@ -74,8 +74,8 @@ def _signed(hashes: np.ndarray) -> pa.Array:
 
 
 def _seeds(docs: DataFrame, window: int) -> DataFrame:
-    """Every document's different anchors: (doc_id, h, anchor), ``h`` standing for the text."""
-    schema = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL("h bigint, anchor bigint").fields])
+    """Every document's different anchors: (k, anchor)."""
+    schema = T.StructType.fromDDL("k bigint, anchor bigint")
     arrow = to_arrow_schema(schema)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,18 +84,14 @@ def _seeds(docs: DataFrame, window: int) -> DataFrame:
                 words = Words(held, lower=False)
                 _, doc, anchor = _anchors(words, window)
                 doc, anchor = _distinct(doc, anchor)
-                at = pa.array(doc + first)
-                columns = [batch.column("doc_id").take(at), batch.column("h").take(at), _signed(anchor)]
-                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
-
-    return docs.mapInArrow(read, schema)
-
+                yield pa.RecordBatch.from_arrays([batch.column("k").take(pa.array(doc + first)), _signed(anchor)], schema=arrow)
 
-_RUNS = "array<struct<anchor: bigint, words: bigint, start: int, windows: array<bigint>>>"
+    return docs.select("k", "text").mapInArrow(read, schema)
 
 
-def _runs(words: Words, window: int, seed_doc: np.ndarray, seed: np.ndarray, kind: pa.DataType) -> pa.Array:
-    """Per document of a chunk, its runs of windows whose anchor is among the document's seeds."""
+def _runs(words: Words, window: int, seed_doc: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, list[pa.Array]]:
+    """The runs of windows of a chunk's documents whose anchor is among the document's seeds: their
+    documents, and anchor, hash of the run, first word and windows."""
     place, doc, anchor = _anchors(words, window)
     new = np.ones(len(doc), dtype=bool)
     new[1:] = (doc[1:] != doc[:-1]) | (anchor[1:] != anchor[:-1])
@@ -112,24 +108,18 @@ def _runs(words: Words, window: int, seed_doc: np.ndarray, seed: np.ndarray, kin
         code = np.add.reduceat(windows * _power(_BASE, int(length.max()))[nth], cuts[:-1]) + length.astype(np.uint64)
     else:
         code = windows
-    runs = pa.StructArray.from_arrays(
-        [
-            _signed(anchor[head]),
-            _signed(mix(code)),
-            pa.array((place[head] - words.offsets[doc[head]]).astype(np.int32)),
-            pa.ListArray.from_arrays(cuts.astype(np.int32), _signed(windows)),
-        ],
-        names=["anchor", "words", "start", "windows"],
-    )
-    ends = np.searchsorted(doc[head], np.arange(len(words.offsets)))
-    return pa.ListArray.from_arrays(ends.astype(np.int32), runs).cast(kind)
+    return doc[head], [
+        _signed(anchor[head]),
+        _signed(mix(code)),
+        pa.array((place[head] - words.offsets[doc[head]]).astype(np.int32)),
+        pa.ListArray.from_arrays(cuts.astype(np.int32), _signed(windows)),
+    ]
 
 
-def _read_runs(docs: DataFrame, window: int, keep_text: bool) -> DataFrame:
-    """Documents with their seeds (doc_id, h, text, seeds) to (doc_id, h, text, n_words, kept_sha256,
-    runs). A document without runs is answered at once; its text goes unless ``keep_text``."""
+def _read_runs(docs: DataFrame, window: int) -> DataFrame:
+    """Documents with their seeds (doc_id, k, text, seeds) to runs (doc_id, k, anchor, words, start, windows)."""
     schema = T.StructType(
-        [docs.schema["doc_id"], *T.StructType.fromDDL(f"h bigint, text string, n_words bigint, kept_sha256 string, runs {_RUNS}").fields]
+        [docs.schema["doc_id"], *T.StructType.fromDDL("k bigint, anchor bigint, words bigint, start int, windows array<bigint>").fields]
     )
     arrow = to_arrow_schema(schema)
 
@@ -138,33 +128,18 @@ def _read_runs(docs: DataFrame, window: int, keep_text: bool) -> DataFrame:
             for first, held in chunks(utf8(batch.column("text"))):
                 words = Words(held, lower=False)
                 seeds = batch.column("seeds").slice(first, len(held))
-                seed = seeds.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-                count = [0 if n is None else n for n in pc.list_value_length(seeds).to_pylist()]
-                runs = _runs(words, window, np.repeat(np.arange(len(held)), count), seed, arrow.field("runs").type)
-                clean = pc.equal(pc.list_value_length(runs), 0)
-                kept = [_kept(held[d], words, d) if c else None for d, c in enumerate(clean.to_pylist())]
-                text = batch.column("text").slice(first, len(held))
-                columns = [
-                    batch.column("doc_id").slice(first, len(held)),
-                    batch.column("h").slice(first, len(held)),
-                    text if keep_text else text.take(pa.array(np.arange(len(held)), mask=clean.to_numpy(zero_copy_only=False))),
-                    pa.array(np.diff(words.offsets).astype(np.int64)),
-                    pa.array(kept, pa.string()),
-                    runs,
-                ]
+                seed = seeds.flatten().to_numpy().view(np.uint64)
+                seed_doc = np.repeat(np.arange(len(held)), pc.list_value_length(seeds).to_numpy())
+                doc, columns = _runs(words, window, seed_doc, seed)
+                at = pa.array(doc + first)
+                columns = [batch.column("doc_id").take(at), batch.column("k").take(at), *columns]
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
-    return docs.mapInArrow(read, schema)
-
+    return docs.select("doc_id", "k", "text", "seeds").mapInArrow(read, schema)
 
-def _kept(text: bytes, words: Words, d: int, gone: np.ndarray | None = None) -> str:
-    return hashlib.sha256(_kept_text(text, words, d, gone)).hexdigest()
 
-
-def _kept_text(text: bytes, words: Words, d: int, gone: np.ndarray | None = None) -> bytes:
+def _kept(text: bytes, words: Words, d: int, gone: np.ndarray) -> bytes:
     """The words of document ``d`` of a chunk that are not ``gone``, joined by one space."""
-    if gone is None:
-        return b" ".join(text.split())  # splits at the six bytes that part words
     own = slice(words.offsets[d], words.offsets[d + 1])
     starts = (words.starts[own] - words.doc_starts[d])[~gone]
     ends = (words.ends[own] - words.doc_starts[d])[~gone]
@@ -181,12 +156,12 @@ def spans(starts: np.ndarray, window: int) -> list[tuple[int, int]]:
     return [(int(starts[a]), int(starts[b] - starts[a]) + window) for a, b in zip(new, last)]
 
 
-def _repeats(marked: DataFrame) -> DataFrame:
-    """(doc_id, h, starts): where the repeated windows of each document start."""
-    runs = marked.select("doc_id", "h", F.explode("runs").alias("r")).select("doc_id", "h", "r.*")
+def _repeats(runs: DataFrame) -> DataFrame:
+    """(k, starts): where the repeated windows of each document start."""
     classes = written(
         runs.groupBy("anchor", "words").agg(F.min("doc_id").alias("first"), F.any_value("windows").alias("windows")),
         "repeat-classes",
+        drop_shuffles=True,
     )
     # Only a seed with several classes can have a window in two of them.
     several = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1").select("anchor")
@@ -198,17 +173,19 @@ def _repeats(marked: DataFrame) -> DataFrame:
         windows.join(holders, ["anchor", "window"]).filter(F.col("holder") < F.col("first"))
         .groupBy("anchor", "words").agg(F.collect_set("at").alias("places"))
     )
-    verdicts = classes.select("anchor", "words", "first").join(shared, ["anchor", "words"], "left")
+    verdicts = written(
+        classes.select("anchor", "words", "first").join(shared, ["anchor", "words"], "left"), "repeat-verdicts", drop_shuffles=True
+    )
     # A later document repeats the whole run; the first one what earlier classes hold.
-    found = runs.select("doc_id", "h", "anchor", "words", "start", F.size("windows").alias("length")).join(
+    found = runs.select("doc_id", "k", "anchor", "words", "start", F.size("windows").alias("length")).join(
         verdicts, ["anchor", "words"]
     )
     places = F.when(F.col("doc_id") > F.col("first"), F.sequence(F.lit(0), F.col("length") - 1)).otherwise(F.col("places"))
     return (
-        found.select("doc_id", "h", F.transform(places, lambda p: p + F.col("start")).alias("starts"))
+        found.select("k", F.transform(places, lambda p: p + F.col("start")).alias("starts"))
         .filter(F.size("starts") > 0)
-        .groupBy("doc_id", "h")
-        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("starts")))).alias("starts"))
+        .groupBy("k")
+        .agg(F.array_distinct(F.flatten(F.collect_set("starts"))).alias("starts"))
     )
 
 
@@ -220,13 +197,16 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fal
     """
     if window <= GRAM:
         raise ValueError(f"windows need more than {GRAM} words")
-    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
-    anchors = _seeds(docs.filter(F.col("doc_id").isNotNull()), window)
-    several = anchors.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("anchor")
-    seeds = anchors.join(several, "anchor").groupBy("doc_id", "h").agg(F.collect_set("anchor").alias("seeds"))
-    marked = written(_read_runs(docs.join(seeds, ["doc_id", "h"], "left").select("doc_id", "h", "text", "seeds"), window, with_text), "repeat-runs")
-    starts = _repeats(marked.filter(F.size("runs") > 0))
-    done = marked.join(starts, ["doc_id", "h"], "left")
+    # k stands for the document: rows that share it have the same id and text, and one result.
+    docs = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k"))
+    named = docs.filter(F.col("doc_id").isNotNull())
+    anchors = _seeds(named, window)
+    several = anchors.groupBy("anchor").count().filter("count > 1").select("anchor")
+    seeds = written(
+        anchors.join(several, "anchor").groupBy("k").agg(F.collect_set("anchor").alias("seeds")), "repeat-seeds", drop_shuffles=True
+    )
+    runs = written(_read_runs(named.join(seeds, "k"), window), "repeat-runs", drop_shuffles=True)
+    starts = written(_repeats(runs), "repeat-starts", drop_shuffles=True)
     schema = T.StructType(
         [docs.schema["doc_id"]]
         + T.StructType.fromDDL(
@@ -238,25 +218,26 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fal
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, held in chunks(utf8(batch.column("text"))):
-                here = {n: batch.column(n).slice(first, len(held)) for n in batch.schema.names}
-                words = Words(held, lower=False)
-                removed, n_removed, kept, texts = [], [], [], []
-                for d, (at, sha) in enumerate(zip(here["starts"].to_pylist(), here["kept_sha256"].to_pylist())):
-                    found = spans(np.array(at or [], dtype=np.int64), window)
-                    gone = np.zeros(words.offsets[d + 1] - words.offsets[d], dtype=bool)
-                    for start, length in found:
-                        gone[start : start + length] = True
-                    text = None if sha and not with_text else _kept_text(held[d], words, d, gone if found else None)
-                    removed.append([{"start": s, "length": n} for s, n in found])
-                    n_removed.append(int(gone.sum()))
-                    kept.append(sha or hashlib.sha256(text).hexdigest())
-                    texts.append(text.decode() if with_text else None)
-                columns = [
-                    here["doc_id"], here["n_words"], pa.array(n_removed, pa.int64()), pa.array(kept, pa.string()),
-                    pa.array(removed, arrow.field("removed").type), pa.array(texts, pa.string()),
-                ]
-                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
-
-    # Documents without runs were answered when they were read, unless their text is asked for.
-    out = done.select("doc_id", "text", "n_words", "kept_sha256", "starts").mapInArrow(cut, schema)
+                words = None
+                rows = []
+                for d, at in enumerate(batch.column("starts").slice(first, len(held)).to_pylist()):
+                    if at:
+                        words = words or Words(held, lower=False)
+                        found = spans(np.array(at, dtype=np.int64), window)
+                        gone = np.zeros(words.offsets[d + 1] - words.offsets[d], dtype=bool)
+                        for start, length in found:
+                            gone[start : start + length] = True
+                        kept, size = _kept(held[d], words, d, gone), len(gone)
+                    else:
+                        own = held[d].split()  # at the six bytes that part words
+                        found, kept, size = [], b" ".join(own), len(own)
+                    spared = [{"start": s, "length": n} for s, n in found]
+                    rows.append((size, sum(n for _, n in found), hashlib.sha256(kept).hexdigest(), spared, kept.decode() if with_text else None))
+                columns = [batch.column("doc_id").slice(first, len(held))]
+                columns += [pa.array(c, f.type) for c, f in zip(zip(*rows), list(arrow)[1:])]
+                yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+    # A null id stands for no other document, whatever its k.
+    joined = docs.join(starts, (docs["k"] == starts["k"]) & docs["doc_id"].isNotNull(), "left")
+    out = joined.select("doc_id", "text", "starts").mapInArrow(cut, schema)
     return out if with_text else out.drop("kept_text")
