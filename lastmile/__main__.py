@@ -3,6 +3,7 @@
   python -m lastmile list
   python -m lastmile query sla_breach /root/testdata/sf0.1 [--show 20] [--out path.parquet]
   python -m lastmile pipeline /root/testdata/sf0.1 /shared/out [--partition-orders-by-date]
+  python -m lastmile load /shared/raw /shared/out [--feeds orders,riders] [--batch-ts 2024-05-06T07:00:00]
 
 ``--master`` runs locally (e.g. ``local[8]``); without it the cluster's settings stand.
 """
@@ -10,10 +11,12 @@
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
 
 from lastmile.registry import build, query_names
 from lastmile.session import get_session
+from lastmile.sources.schemas import FEEDS
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -31,6 +34,11 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("sf_dir")
     p.add_argument("out_dir")
     p.add_argument("--partition-orders-by-date", action="store_true")
+    load = sub.add_parser("load", help="raw feed files to bronze, with a quarantine of the lines that do not parse")
+    load.add_argument("raw_dir")
+    load.add_argument("out_dir")
+    load.add_argument("--feeds", default=",".join(FEEDS))
+    load.add_argument("--batch-ts", type=dt.datetime.fromisoformat, default=None)
     args = parser.parse_args(argv)
 
     if args.cmd == "list":
@@ -44,6 +52,10 @@ def main(argv: list[str] | None = None) -> None:
             print(args.out)
         else:
             df.show(args.show, truncate=False)
+    elif args.cmd == "load":
+        from lastmile.sources.feeds import load_all
+
+        print(json.dumps(load_all(spark, args.raw_dir, args.out_dir, args.batch_ts, args.feeds.split(",")), indent=2))
     else:
         from lastmile.plans.pipeline import run_pipeline
 

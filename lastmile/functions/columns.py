@@ -137,6 +137,13 @@ def stable_mean(c: str | Column) -> Column:
     return F.round(F.avg(_c(c)), MEAN_DECIMALS)
 
 
+def ordered_mean(c: str | Column) -> Column:
+    """Mean of doubles added up from the smallest, so it does not depend on the order of rows and
+    is not rounded. Holds a group's values: for groups of mart rows."""
+    values = F.array_sort(F.collect_list(_c(c)))
+    return F.try_divide(F.aggregate(values, F.lit(0.0), lambda total, x: total + x), F.size(values))
+
+
 MONEY_TYPE = "decimal(38,10)"
 
 

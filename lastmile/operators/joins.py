@@ -1,10 +1,10 @@
 """Joins against dimensions and keyed aggregates.
 
-Broadcasting is decided per dimension, each time a query is built, by a bounded probe: a count
-of at most one row more than the bound, which is in bytes (rows times estimated width). Below
-the bound the dimension is broadcast (the large side is not shuffled at all); above it the
-join is left to the planner: a sort-merge join on the key, which AQE can still turn into
-a broadcast from measured shuffle sizes, and whose skewed partitions AQE splits.
+Building a join runs no job. It is a sort-merge join on the key that AQE turns into a broadcast
+once the dimension's size has been measured (its shuffle output, below
+``spark.sql.adaptive.autoBroadcastJoinThreshold``), and whose skewed partitions AQE splits
+otherwise. A caller who would rather pay for a count than for a shuffle of the large side passes
+``max_rows``: a count of at most one row more than the bound then decides on a broadcast at once.
 """
 
 from __future__ import annotations
@@ -51,10 +51,12 @@ def lookup_join(
 ) -> DataFrame:
     """Join a (possibly large, possibly skewed) fact side to a keyed dimension.
 
-    ``bound`` is a cheaper frame with at least as many rows as ``dim`` (e.g. the dimension
-    before it was deduplicated by an aggregation); the probe runs on it instead, so it
-    stays a map-only scan that stops after ``max_rows + 1`` rows.
+    With ``max_rows`` the dimension is counted first, up to one row more, and broadcast if it has
+    no more rows. ``bound`` is then a cheaper frame with at least as many rows as ``dim`` (e.g. the
+    dimension before it was deduplicated by an aggregation); the count runs on it instead.
     """
+    if max_rows is None:
+        return facts.join(dim, on, how)
     small = fits_broadcast(bound if bound is not None else dim, max_rows)
     return facts.join(F.broadcast(dim) if small else dim, on, how)
 

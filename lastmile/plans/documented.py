@@ -4,8 +4,7 @@ design documents, kept apart from the code-defined model under ``doc_`` names.
 Where a documented input does not exist in the data, a stand-in is used and named:
 * prep time "food_ready - accepted": no food-ready event exists; accepted -> picked-up is
   used (``rider_wait_minutes``).
-* rider tenure from a joining date: riders carry no joining date; the span between a
-  rider's first and last delivery event is used.
+* rider tenure: from the joining date to the rider's last delivery event (no other "today").
 * orphan flag on orders: the order's restaurant does not exist in the restaurant table.
 """
 
@@ -18,7 +17,6 @@ from lastmile.functions import columns as C
 from lastmile.operators import quality as Q
 from lastmile.operators.dedup import keep_first, keep_latest
 from lastmile.operators.joins import lookup_join, semi_join
-from lastmile.session import ensure_checkpoint_dir
 
 COMPLETED_STATUSES = ("COMPLETED", "DELIVERED")
 CANCELLED_STATUS = "CANCELLED"
@@ -66,9 +64,7 @@ DQ_FLAGS = (
 def with_dq_flags(clean_orders: DataFrame, timeline: DataFrame, restaurants: DataFrame) -> DataFrame:
     """The clean orders with the four documented row flags."""
     known = restaurants.select("restaurant_id").distinct().withColumn("_known", F.lit(True))
-    with_dim = lookup_join(
-        clean_orders, known, "restaurant_id", "left", bound=restaurants.select("restaurant_id")
-    )
+    with_dim = lookup_join(clean_orders, known, "restaurant_id")
     seq = timeline.select("order_id", "accepted_ts", "picked_ts", "delivered_ts")
     joined = with_dim.join(seq, "order_id", "left")
     bad_sequence = (F.col("picked_ts") < F.col("accepted_ts")) | (
@@ -192,22 +188,30 @@ def doc_refund_drivers(refunds: DataFrame, orders: DataFrame) -> DataFrame:
     unpartitioned windows run on the at most four category rows.
     """
     valid = semi_join(refunds, orders.select("order_id"), "order_id")
-    amount = F.col("refund_amount").cast(C.MONEY_TYPE)
+    exact = F.col("refund_amount").try_cast(C.MONEY_TYPE)
     agg = valid.groupBy(C.refund_category("refund_reason").alias("refund_category")).agg(
-        F.count(F.lit(1)).alias("refund_count"), F.sum(amount).alias("_amount")
+        F.count(F.lit(1)).alias("refund_count"),
+        C.money_sum("refund_amount").alias("_amount"),
+        F.try_sum(exact).alias("_exact"),
+        F.count(exact).alias("_exact_count"),
+        F.count("refund_amount").alias("_count"),
     )
-    # Totals are summed exactly (counts, cents) before any division.
+    # Totals are summed exactly before any division, unless an amount does not fit.
     everything = Window.partitionBy()
+    total = F.when(
+        F.sum("_exact_count").over(everything) == F.sum("_count").over(everything),
+        F.coalesce(F.try_sum("_exact").over(everything).cast("double"), F.sum("_amount").over(everything)),
+    ).otherwise(F.sum("_amount").over(everything))
     return agg.select(
         "refund_category",
         "refund_count",
-        F.col("_amount").cast("double").alias("refund_amount"),
+        F.col("_amount").alias("refund_amount"),
         F.try_divide(
             F.col("refund_count").cast("double") * 100, F.sum("refund_count").over(everything)
         ).alias("refund_count_pct"),
         F.try_divide(
-            F.col("_amount").cast("double") * 100,
-            F.sum("_amount").over(everything).cast("double"),
+            F.col("_amount") * 100,
+            total,
         ).alias("refund_amount_pct"),
     )
 
@@ -243,7 +247,8 @@ def doc_rider_score(facts: DataFrame, riders: DataFrame) -> DataFrame:
     for riders with at least 10 deliveries. City = the rider's home city (rider table).
 
     The city mean is an aggregation joined back, not a window over all riders of a city,
-    so no task ever holds a whole city. Runs a job when called (the checkpoint below).
+    so no task ever holds a whole city. Both uses of the per-rider rows need the same columns,
+    so Spark computes them once and reads their exchange again.
     """
     delivered = facts.filter(F.col("rider_id").isNotNull() & F.col("delivered_ts").isNotNull())
     per_rider = delivered.groupBy("rider_id").agg(
@@ -251,19 +256,17 @@ def doc_rider_score(facts: DataFrame, riders: DataFrame) -> DataFrame:
         _count_if(F.col("delivered_ts") > F.col("promised_delivery_ts")).alias("late_deliveries"),
         F.countDistinct("order_date").alias("active_days"),
     )
-    ranked = per_rider.filter(F.col("deliveries") >= C.MIN_RIDER_DELIVERIES).withColumns(
+    # The second condition always holds; it keeps the late count in both uses of these rows, so
+    # that their exchanges are one and the same.
+    counted = (F.col("deliveries") >= C.MIN_RIDER_DELIVERIES) & (F.col("late_deliveries") <= F.col("deliveries"))
+    ranked = per_rider.filter(counted).withColumns(
         {
             "orders_per_day": C.ratio("deliveries", "active_days"),
             "on_time_rate": 1 - C.ratio("late_deliveries", "deliveries"),
         }
     )
     home = riders.groupBy("rider_id").agg(F.min("city").alias("city"))
-    ranked = lookup_join(ranked, home, "rider_id", "left", bound=riders.select("rider_id"))
-    # The per-rider rows feed both the city means and the join back; two branches would
-    # compute the whole fact pipeline twice. One row per rider is cheap to write, so the
-    # lineage is cut here with a reliable checkpoint in the shared checkpoint folder.
-    ensure_checkpoint_dir(ranked.sparkSession)
-    ranked = ranked.checkpoint(eager=True)
+    ranked = lookup_join(ranked, home, "rider_id")
     city_avg = ranked.groupBy(F.col("city").alias("avg_city")).agg(
         C.stable_mean("orders_per_day").alias("city_avg_orders_per_day")
     )
@@ -325,12 +328,13 @@ def doc_weekly_wow(weekly: DataFrame) -> DataFrame:
 
 # -- dimensions ------------------------------------------------------------------------
 def doc_dim_restaurants(restaurants: DataFrame) -> DataFrame:
-    order = [F.col("city").asc_nulls_last(), F.col("cuisine_type").asc_nulls_last()]
-    return keep_first(restaurants.select("restaurant_id", "city", "cuisine_type"), ["restaurant_id"], order)
+    attributes = ["city", "cuisine_type", "rating_band", "onboarding_date"]
+    order = [F.col(c).asc_nulls_last() for c in attributes]
+    return keep_first(restaurants.select("restaurant_id", *attributes), ["restaurant_id"], order)
 
 
 def doc_dim_riders(riders: DataFrame, events: DataFrame) -> DataFrame:
-    """Riders with city and tenure (first to last delivery-event date, in days)."""
+    """Riders with city, shift, joining date and tenure (days from joining to the last delivery event)."""
     activity = (
         events.filter(F.col("rider_id").isNotNull())
         .groupBy("rider_id")
@@ -339,9 +343,11 @@ def doc_dim_riders(riders: DataFrame, events: DataFrame) -> DataFrame:
             F.to_date(F.max("event_ts")).alias("last_event_date"),
         )
     )
-    home = riders.groupBy("rider_id").agg(F.min("city").alias("city"))
+    attributes = ["city", "shift_type", "joining_date"]
+    order = [F.col(c).asc_nulls_last() for c in attributes]
+    home = keep_first(riders.select("rider_id", *attributes), ["rider_id"], order)
     return home.join(activity, "rider_id", "left").withColumn(
-        "tenure_days", F.datediff("last_event_date", "first_event_date")
+        "tenure_days", F.datediff("last_event_date", "joining_date")
     )
 
 

@@ -127,7 +127,7 @@ def breach_by_city(sla: DataFrame) -> DataFrame:
     """Unweighted mean of the slot breach rates per city, highest first."""
     return (
         sla.groupBy("city")
-        .agg(C.stable_mean("breach_rate").alias("avg_breach_rate"))
+        .agg(C.ordered_mean("breach_rate").alias("avg_breach_rate"))
         .orderBy(F.col("avg_breach_rate").desc(), F.col("city").asc_nulls_first())
     )
 
@@ -135,7 +135,7 @@ def breach_by_city(sla: DataFrame) -> DataFrame:
 def breach_by_slot(sla: DataFrame) -> DataFrame:
     return (
         sla.groupBy("time_slot")
-        .agg(C.stable_mean("breach_rate").alias("avg_breach_rate"))
+        .agg(C.ordered_mean("breach_rate").alias("avg_breach_rate"))
         .orderBy("time_slot")
     )
 

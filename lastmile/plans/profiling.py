@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lastmile.operators import quality as Q
@@ -86,78 +86,72 @@ def invalid_riders(events: DataFrame, riders: DataFrame) -> DataFrame:
     return anti_join(with_rider, riders, "rider_id").agg(F.count(F.lit(1)).alias("invalid_riders"))
 
 
-def orders_profile(orders: DataFrame) -> DataFrame:
-    """Row count, NULL percentages and duplicated keys of the orders in one pass: counts
-    per order_id (partial aggregation before the shuffle), then totals."""
-    per_key = orders.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("payment_mode").isNull()).alias("no_payment"),
-        F.count_if(F.col("city").isNull()).alias("no_city"),
-    )
-    rows = F.sum("n")
-    return per_key.agg(
-        rows.alias("orders_rows"),
-        F.round(F.try_divide(F.sum("no_payment").cast("double") * 100, rows), 2).alias("payment_null_pct"),
-        F.round(F.try_divide(F.sum("no_city").cast("double") * 100, rows), 2).alias("city_null_pct"),
-        F.count_if(F.col("n") > 1).alias("duplicate_order_ids"),
-    )
-
+def _order_marks(orders: DataFrame, events: DataFrame, refunds: DataFrame, restaurants: DataFrame) -> DataFrame:
+    """All three feeds reduced to counts per (order_id, promise): a row per order and promise, and
+    one row per order for its events and refunds. Each feed is read once."""
+    counts = ("orders", "no_payment", "no_city", "mismatch", "events", "refunds")
 
-def events_profile(orders: DataFrame, events: DataFrame) -> DataFrame:
-    """Event row count and late deliveries from one pass over the events.
-
-    Events are reduced to one row per order (count, latest DELIVERED time); the distinct
-    (order, promise) rows are appended; a window on order_id hands each promise its
-    order's delivery time. Window groups hold one event row plus an order's few promises,
-    so none is large; the event join behind ``events`` is computed once, not twice.
-    """
-    per_order = events.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.max(F.when(F.col("event_type") == "DELIVERED", F.col("event_ts"))).alias("delivered_ts"),
-    ).withColumn("promised_delivery_ts", F.lit(None).cast("timestamp_ntz"))
-    promises = (
-        orders.select("order_id", "promised_delivery_ts")
-        .distinct()
-        .select(
-            "order_id",
-            F.lit(0).cast("bigint").alias("n"),
-            F.lit(None).cast("timestamp_ntz").alias("delivered_ts"),
-            "promised_delivery_ts",
+    def rows(df: DataFrame, promise: Column, delivered: Column, **ones: Column) -> DataFrame:
+        return df.select(
+            "order_id", promise.cast("timestamp_ntz").alias("promise"), delivered.cast("timestamp_ntz").alias("delivered"),
+            *[ones.get(c, F.lit(0)).cast("bigint").alias(c) for c in counts],
         )
+
+    none = F.lit(None)
+    # A restaurant listed more than once counts a mismatch for each of its rows, and the order once.
+    listed = restaurants.groupBy("restaurant_id", F.col("city").alias("stated")).agg(F.count(F.lit(1)).alias("rows"))
+    dim = listed.groupBy("restaurant_id").agg(F.collect_list(F.struct("stated", "rows")).alias("cities"))
+    placed = lookup_join(orders, dim, "restaurant_id")
+    mismatch = F.aggregate(
+        "cities", F.lit(0).cast("bigint"), lambda n, c: n + F.when(c["stated"] != F.col("city"), c["rows"]).otherwise(0)
     )
-    rows = per_order.unionByName(promises).withColumn(
-        "order_delivered_ts", F.max("delivered_ts").over(Window.partitionBy("order_id"))
-    )
-    return rows.agg(
-        F.sum("n").alias("delivery_events_rows"),
-        F.count_if(F.col("order_delivered_ts") > F.col("promised_delivery_ts")).alias(
-            "late_deliveries"
-        ),
+    parts = [
+        rows(placed, F.col("promised_delivery_ts"), none, orders=F.lit(1), no_payment=F.col("payment_mode").isNull(),
+             no_city=F.col("city").isNull(), mismatch=F.when(F.col("city").isNotNull() & F.col("cities").isNotNull(), mismatch).otherwise(0)),
+        rows(events, none, F.when(F.col("event_type") == "DELIVERED", F.col("event_ts")), events=F.lit(1)),
+        rows(refunds, none, none, refunds=F.lit(1)),
+    ]
+    both = parts[0].withColumn("is_order", F.lit(True))
+    for p in parts[1:]:
+        both = both.unionByName(p.withColumn("is_order", F.lit(False)))
+    return both.groupBy("order_id", "is_order", "promise").agg(
+        F.max("delivered").alias("delivered"), *[F.sum(c).alias(c) for c in counts]
     )
 
 
 def bronze_profile(
     orders: DataFrame, events: DataFrame, refunds: DataFrame, restaurants: DataFrame
 ) -> DataFrame:
-    """All bronze checks as one long (metric, value) table."""
+    """All bronze checks as one long (metric, value) table, each feed read once.
 
-    def metrics(df: DataFrame) -> DataFrame:
-        cols = df.columns
-        return df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
-            [], cols, "metric", "value"
-        )
-
-    parts = [
-        metrics(orders_profile(orders)),
-        metrics(events_profile(orders, events)),
-        metrics(Q.row_count(refunds, "x").select(F.col("row_count").alias("refunds_rows"))),
-        metrics(orphan_refunds(refunds, orders)),
-        metrics(city_mismatch(orders, restaurants)),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    The feeds meet per order: a window hands each promise its order's delivery time and row count.
+    Its groups hold an order's few promises and one row of events and refunds, as those are
+    aggregated before.
+    """
+    per_order = Window.partitionBy("order_id")
+    known = F.col("order_id").isNotNull()
+    rows = _order_marks(orders, events, refunds, restaurants).withColumns(
+        {
+            "order_delivered": F.max("delivered").over(per_order),
+            "order_rows": F.sum("orders").over(per_order),
+            "nth": F.row_number().over(per_order.orderBy(F.col("is_order").desc(), "promise")),
+        }
+    )
+    loads = F.sum("orders")
+    profile = rows.agg(
+        F.coalesce(loads, F.lit(0)).alias("orders_rows"),
+        F.coalesce(F.sum("events"), F.lit(0)).alias("delivery_events_rows"),
+        F.coalesce(F.sum("refunds"), F.lit(0)).alias("refunds_rows"),
+        F.round(F.try_divide(F.sum("no_payment").cast("double") * 100, loads), 2).alias("payment_null_pct"),
+        F.round(F.try_divide(F.sum("no_city").cast("double") * 100, loads), 2).alias("city_null_pct"),
+        F.count_if((F.col("nth") == 1) & (F.col("order_rows") > 1)).alias("duplicate_order_ids"),
+        F.count_if(known & F.col("is_order") & (F.col("order_delivered") > F.col("promise"))).alias("late_deliveries"),
+        F.coalesce(F.sum(F.when(~known | (F.col("order_rows") == 0), F.col("refunds"))), F.lit(0)).alias("orphan_refunds"),
+        F.coalesce(F.sum("mismatch"), F.lit(0)).alias("city_mismatch"),
+    )
+    return profile.select(*[F.col(c).cast("double").alias(c) for c in profile.columns]).unpivot(
+        [], profile.columns, "metric", "value"
+    )
 
 
 # -- not-null tests on the marts ---------------------------------------------------------

@@ -12,7 +12,7 @@ Plan shape of ``order_facts`` (see README, "Plans"):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from lastmile.functions import columns as C
@@ -42,13 +42,7 @@ def restaurant_cities(restaurants: DataFrame) -> DataFrame:
 def attach_restaurant_city(df: DataFrame, restaurants: DataFrame) -> DataFrame:
     """Overwrite ``city`` with the restaurant's city — always, so an order whose restaurant
     is missing ends with a NULL city even if the order carried one."""
-    joined = lookup_join(
-        df,
-        restaurant_cities(restaurants),
-        "restaurant_id",
-        "left",
-        bound=restaurants.select("restaurant_id"),
-    )
+    joined = lookup_join(df, restaurant_cities(restaurants), "restaurant_id")
     return joined.withColumn("city", F.col("restaurant_city")).drop("restaurant_city")
 
 
@@ -113,8 +107,8 @@ def _latest_rider(firsts: list[tuple[str, str]]) -> Column:
 FIRST_COLUMNS = tuple((t, f"_first_{t.lower()}") for t, _ in LIFECYCLE)
 
 
-def first_events(events: DataFrame) -> DataFrame:
-    """Per order and lifecycle type: the first event as a struct (ts, no_rider, rider),
+def first_events(events: DataFrame | GroupedData) -> DataFrame:
+    """Per order (or per group of ``events`` grouped already) and lifecycle type: the first event as a struct (ts, no_rider, rider),
     and its time as ``min(ts)`` plus a has-NULL-time flag.
 
     The time of the first event is NULL if any event of the type has no time (NULL sorts
@@ -132,7 +126,8 @@ def first_events(events: DataFrame) -> DataFrame:
             F.min(F.when(of_type, F.col("event_ts"))).alias(f"{name}_min_ts"),
             F.max(F.when(of_type, F.col("event_ts").isNull())).alias(f"{name}_null_ts"),
         ]
-    return events.groupBy("order_id").agg(*aggs)
+    grouped = events.groupBy("order_id") if isinstance(events, DataFrame) else events
+    return grouped.agg(*aggs)
 
 
 def merge_first_events(partials: DataFrame) -> DataFrame:
@@ -237,6 +232,11 @@ def order_facts(
 def facts_from_silver(orders: DataFrame, timeline: DataFrame, refunds: DataFrame) -> DataFrame:
     """Facts from cleaned orders (one row per order) and the timeline: measures, refund
     totals and flags. The city is whatever ``orders`` carries."""
+    return facts_from_totals(orders, timeline, refund_agg(refunds))
+
+
+def facts_from_totals(orders: DataFrame, timeline: DataFrame, totals: DataFrame) -> DataFrame:
+    """The facts where the refunds are already totals per order (``refund_agg``)."""
     facts = orders.join(timeline, "order_id", "left")
     facts = facts.withColumns(
         {
@@ -245,7 +245,7 @@ def facts_from_silver(orders: DataFrame, timeline: DataFrame, refunds: DataFrame
             "prep_delay_minutes": C.minutes_between("order_ts", "accepted_ts"),
         }
     ).withColumn("sla_breach_flag", C.breach_flag("delay_minutes"))
-    facts = facts.join(refund_agg(refunds), "order_id", "left").fillna(
+    facts = facts.join(totals, "order_id", "left").fillna(
         {"refund_amount": 0.0, "has_refund_flag": 0}
     )
     return facts.withColumns(

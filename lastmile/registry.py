@@ -8,17 +8,22 @@ intermediates within one query build.
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lastmile.functions import sql as sql_macros
 from lastmile.plans import bronze as B
 from lastmile.plans import documented as D
 from lastmile.plans import marts as M
 from lastmile.plans import profiling as P
 from lastmile.plans import silver as S
+from lastmile.session import ensure_checkpoint_dir
+from lastmile.sources import feeds
+from lastmile.sources.schemas import FEEDS
 from lastmile.sources.tables import Tables
 from lastmile.streaming.timeline import stream_timeline_from_tables
 
@@ -26,6 +31,13 @@ from lastmile.streaming.timeline import stream_timeline_from_tables
 # Batch time stamped on bronze loads by the registered queries (fixed, so results are
 # reproducible; a real load stamps the current time).
 LOAD_BATCH_TS = datetime.datetime(2002, 1, 1, 0, 0, 0)
+ORDER_BATCHES = (LOAD_BATCH_TS, datetime.datetime(2002, 1, 2, 0, 0, 0))
+# The broken lines of the quarantine queries: feed -> the id that is divisible by DAMAGED_MOD.
+DAMAGED_FEEDS = {
+    "orders": "order_id", "delivery_events": "order_id", "restaurants": "restaurant_id", "riders": "rider_id",
+    "support_tickets": "ticket_id",
+}
+DAMAGED_MOD = 97
 
 
 class Model:
@@ -85,10 +97,50 @@ class Model:
     def doc_weekly(self) -> DataFrame:
         return D.doc_weekly(self.facts)
 
-    def staging(self, name: str, model: DataFrame) -> DataFrame:
-        """Staging is a pass-through view over a silver model."""
-        model.createOrReplaceTempView(name)
-        return self.spark.table(name)
+    def raw_folder(self) -> str:
+        """A fresh folder of raw files and their loads, in the shared folder."""
+        return f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/raw-{uuid.uuid4().hex}"
+
+    def load(self, name: str) -> DataFrame:
+        """A feed written as raw files and loaded again; orders in the two batches they came in."""
+        out = self.raw_folder()
+        feed = B.feed(self.t, name)
+        batches = {LOAD_BATCH_TS: feed}
+        if "ingestion_ts" in feed.columns:
+            batches = {ts: feed.filter(F.col("ingestion_ts") == F.lit(ts).cast("timestamp_ntz")) for ts in ORDER_BATCHES}
+        for i, (ts, rows) in enumerate(batches.items()):
+            feeds.write_raw(rows, f"{out}/raw{i}", name)
+            feeds.load_feed(self.spark, f"{out}/raw{i}", out, name, ts)
+        return feeds.loaded(self.spark, out, name)
+
+    @cached_property
+    def damaged_load(self) -> tuple[str, dict[str, dict[str, int]]]:
+        """Feeds of every format written with some broken lines and loaded: folder and counts."""
+        out = self.raw_folder()
+        for name, key in DAMAGED_FEEDS.items():
+            feeds.write_raw(B.feed(self.t, name), f"{out}/raw", name, damaged=F.col(key) % DAMAGED_MOD == 0)
+        return out, feeds.load_all(self.spark, f"{out}/raw", out, LOAD_BATCH_TS, DAMAGED_FEEDS)
+
+    def load_report(self) -> DataFrame:
+        rows = [(n, FEEDS[n][2], c["lines"], c["loaded"], c["quarantined"]) for n, c in self.damaged_load[1].items()]
+        return self.spark.createDataFrame(rows, "feed string, format string, lines bigint, loaded bigint, quarantined bigint")
+
+    def quarantine(self) -> DataFrame:
+        """The broken lines, told by the first number in them."""
+        out, _ = self.damaged_load
+        lines = [feeds.quarantined(self.spark, out, n) for n in DAMAGED_FEEDS]
+        return reduce(DataFrame.unionByName, lines).select(
+            "feed", "source_file", F.regexp_extract("line", r"(\d+)", 1).cast("bigint").alias("line_id")
+        )
+
+    def sql_functions(self) -> DataFrame:
+        """The documented macros called by name in SQL."""
+        f = sql_macros.register(self.spark, "lastmile_")
+        return self.facts.selectExpr(
+            "order_id",
+            f"{f[sql_macros.TIME_SLOT]}(order_hour) as time_slot",
+            f"{f[sql_macros.DATEDIFF_MINUTES]}(order_ts, delivered_ts) as delivery_minutes",
+        )
 
 
 def _distribution(df: DataFrame, column: str) -> DataFrame:
@@ -108,9 +160,9 @@ def _not_null_marts(m: Model) -> DataFrame:
 # name -> builder over the Model. Code-defined model first, then the documented one.
 _QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     # sources, bronze, dedupe
-    "stg_orders": lambda m: m.staging("stg_orders", m.silver_orders),
-    "stg_order_facts": lambda m: m.staging("stg_order_facts", m.facts),
-    "stg_delivery_timeline": lambda m: m.staging("stg_delivery_timeline", m.timeline),
+    "stg_orders": lambda m: m.silver_orders.select("*"),
+    "stg_order_facts": lambda m: m.facts.select("*"),
+    "stg_delivery_timeline": lambda m: m.timeline.select("*"),
     "preview_limit": lambda m: P.preview(m.bronze_orders, ["order_id", "ingestion_ts"], 5),
     "bronze_orders": lambda m: m.bronze_orders,
     "bronze_delivery_events": lambda m: B.bronze(m.t, "delivery_events", LOAD_BATCH_TS),
@@ -188,6 +240,11 @@ _QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     "doc_event_flags": lambda m: D.doc_event_flags(m.t.events, m.bronze_orders),
     "doc_delivery_minutes": lambda m: D.doc_delivery_minutes(m.facts),
     "doc_dim_date": lambda m: D.doc_dim_date(m.bronze_orders),
+    # raw files -> bronze and quarantine
+    **{f"load_{name}": (lambda m, _n=name: m.load(_n)) for name in FEEDS},
+    "load_report": lambda m: m.load_report(),
+    "load_quarantine": lambda m: m.quarantine(),
+    "sql_functions": lambda m: m.sql_functions(),
 }
 
 FLAGSHIP = "sla_breach"
@@ -205,9 +262,15 @@ _SESSION_CONF = {
 
 
 def model_for(spark: SparkSession, sf_dir: str) -> Model:
-    """A new model: it lists the files and reads the schemas as they are now."""
+    """A new model: it lists the files and reads the schemas as they are now.
+
+    Sets ``_SESSION_CONF`` in the session, which stays; a setting that the application was started
+    with is left as it is.
+    """
+    given = spark.sparkContext.getConf()
     for key, value in _SESSION_CONF.items():
-        spark.conf.set(key, value)
+        if not given.contains(key):
+            spark.conf.set(key, value)
     return Model(spark, sf_dir)
 
 

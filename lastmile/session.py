@@ -29,6 +29,8 @@ BASE_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The call site of every Column in error messages costs a third of the time to build a plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Checkpoint files (the rider score's lineage cut) are removed once unreferenced.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }

@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lastmile.session import ensure_checkpoint_dir
@@ -22,9 +22,13 @@ def write_parquet(
     mode: str = "overwrite",
     partition_by: Sequence[str] | None = None,
     balance_tasks: int | None = None,
+    touched_only: bool = False,
 ) -> str:
     """Parquet write, optionally into ``partition_by`` directories.
 
+    ``touched_only`` replaces only the partitions that ``df`` has rows in and leaves the files of all
+    others as they are, so a day can be loaded again without rewriting the table.
+
     With ``balance_tasks=n`` the rows are first range-partitioned into n tasks on
     (partition columns, row hash). Range boundaries come from a sample, so each task
     holds about 1/n of the rows and only a few partition values: a value holding a third
@@ -37,10 +41,22 @@ def write_parquet(
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+        if touched_only:
+            writer = writer.option("partitionOverwriteMode", "dynamic")
+    elif touched_only:
+        raise ValueError("only a partitioned table can be replaced in part")
     writer.parquet(path)
     return path
 
 
+def write_observed(df: DataFrame, path: str, metrics: dict[str, Column], **options) -> dict[str, object]:
+    """``write_parquet`` that also returns aggregates of the rows, taken while they are written:
+    no second read, no further job."""
+    observation = Observation(f"write-{uuid.uuid4().hex}")
+    write_parquet(df.observe(observation, *[c.alias(n) for n, c in metrics.items()]), path, **options)
+    return observation.get
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """CSV with a header line, written as a directory of part files."""
     df.write.mode(mode).option("header", True).option(

@@ -24,7 +24,7 @@ def read_csv(
     infer: bool = False,
 ) -> DataFrame:
     """CSV with a header line. ``permissive`` keeps malformed lines in ``_corrupt_record``."""
-    reader = spark.read.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
+    reader = spark.read.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
     if schema is not None:
         reader = reader.schema(with_corrupt_column(schema) if permissive else schema)
     elif infer:

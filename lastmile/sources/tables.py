@@ -39,6 +39,11 @@ SECOND_LOAD_TS = "2002-01-02 00:00:00"
 NULL_RIDER_MOD = 7               # lineitems with suppkey % 7 = 0 have no rider
 ORPHAN_REFUND_MOD = 101          # lineitems with partkey % 101 = 0 refund a missing order
 ORPHAN_REFUND_OFFSET = 1_000_000_000
+RATING_LOW_BELOW = 0.0           # account balance of a low-rated restaurant
+RATING_MEDIUM_BELOW = 5000.0
+ONBOARDING_FROM, ONBOARDING_SPREAD = "1990-01-01", 700   # onboarding date = from + key % spread
+SHIFT_TYPES = ("DAY", "NIGHT", "FLEX")                   # by key % 3
+JOINING_FROM, JOINING_SPREAD = "1990-06-01", 500
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -56,9 +61,13 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._read: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return read_table(self.spark, f"{self.sf_dir}/{name}.parquet")
+        """A provided table; its schema is read once for all entities of this object."""
+        if name not in self._read:
+            self._read[name] = read_table(self.spark, f"{self.sf_dir}/{name}.parquet")
+        return self._read[name]
 
     # -- dimensions --------------------------------------------------------------------
     @cached_property
@@ -71,6 +80,11 @@ class Tables:
             F.col("c_custkey").alias("restaurant_id"),
             "city",
             F.col("c_mktsegment").alias("cuisine_type"),
+            F.when(F.col("c_acctbal") < RATING_LOW_BELOW, F.lit("LOW"))
+            .when(F.col("c_acctbal") < RATING_MEDIUM_BELOW, F.lit("MEDIUM"))
+            .otherwise(F.lit("HIGH"))
+            .alias("rating_band"),
+            F.date_add(F.lit(ONBOARDING_FROM).cast("date"), (F.col("c_custkey") % ONBOARDING_SPREAD).cast("int")).alias("onboarding_date"),
         )
 
     @cached_property
@@ -80,7 +94,10 @@ class Tables:
             F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("city")
         )
         return lookup_join(s, nation, "s_nationkey").select(
-            F.col("s_suppkey").alias("rider_id"), "city"
+            F.col("s_suppkey").alias("rider_id"),
+            "city",
+            F.element_at(F.array(*map(F.lit, SHIFT_TYPES)), (F.col("s_suppkey") % 3 + 1).cast("int")).alias("shift_type"),
+            F.date_add(F.lit(JOINING_FROM).cast("date"), (F.col("s_suppkey") % JOINING_SPREAD).cast("int")).alias("joining_date"),
         )
 
     # -- facts -------------------------------------------------------------------------
