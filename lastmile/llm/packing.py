@@ -18,12 +18,15 @@ A seed still asks its own shard only, not every document (the README has the mea
 true neighbours found). A shard is bounded by its token count (or one very long document). The
 number of a sequence holds its partition.
 
-Token ids are those of the tokenizer file, and 1 after each document.
+Token ids are those of the tokenizer file, and 1 after each document. The parts of the order are cut
+at quantiles of a sample of documents; equal texts, which no order parts, are dealt over the
+parts that their cuts span.
 """
 
 from __future__ import annotations
 
 import base64
+import bisect
 import os
 import zlib
 from collections.abc import Iterator
@@ -35,11 +38,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lastmile.llm.store import written
+from lastmile.llm.textops import _BASE, _power, mix
+
+_CHECK = 0xD6E8FEB86659FD93
+_CODE_VALUE, _CODE_CHECK = np.random.default_rng(20240608).integers(1, 2**63, (2, 0x0590), dtype=np.uint64) | np.uint64(1)
 
 WINDOW = 2048
 END = 1
 LEADS = 4
 SHARD_TOKENS = 1 << 20
+PARTITION_TOKENS = 8 << 20  # several shards a task
+SAMPLED = 200  # documents sampled a partition to find where the order is cut
+CHUNK = 1 << 20  # characters encoded at a time
 K1 = 1.2
 B = 0.75
 
@@ -50,34 +60,153 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+class Pieces:
+    """Token ids of the words that a tokenizer encodes one by one, remembered by two 64-bit hashes.
+
+    A direct-mapped table of ``SLOTS`` entries: what is not there is encoded and put in its place.
+    """
+
+    SLOTS = 1 << 20
+    IDS = 1 << 25  # the table starts anew beyond so many remembered ids
+
+    def __init__(self, encode):
+        self.encode = encode
+        self.reset()
+
+    def reset(self) -> None:
+        self.keys = np.zeros((2, self.SLOTS), dtype=np.uint64)
+        self.at, self.size = np.zeros(self.SLOTS, dtype=np.int64), np.zeros(self.SLOTS, dtype=np.int64)
+        self.ids, self.used = np.zeros(1 << 16, dtype=np.uint32), 0
+
+    def look_up(self, h: np.ndarray, check: np.ndarray, piece) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the pieces in order, and how many each has; ``piece(i)`` is the text of one."""
+        if self.used > self.IDS:
+            self.reset()
+        slot = (h & np.uint64(self.SLOTS - 1)).astype(np.int64)
+        at, size = self.at[slot], self.size[slot]
+        missing = np.flatnonzero((self.keys[0, slot] != h) | (self.keys[1, slot] != check))
+        if len(missing):
+            # One entry for equal pieces; pieces that only share a slot all get their ids here.
+            order = missing[np.lexsort((check[missing], h[missing]))]
+            new = np.ones(len(order), dtype=bool)
+            new[1:] = (h[order[1:]] != h[order[:-1]]) | (check[order[1:]] != check[order[:-1]])
+            first = order[new]
+            found = [self.encode(piece(i)) for i in first.tolist()]
+            sizes = np.array([len(f) for f in found], dtype=np.int64)
+            starts = self.used + np.cumsum(sizes) - sizes
+            self.used += int(sizes.sum())
+            if self.used > len(self.ids):
+                self.ids = np.concatenate((self.ids, np.zeros(self.used, dtype=np.uint32)))
+            self.ids[int(starts[0]) : self.used] = [i for f in found for i in f]
+            self.keys[0, slot[first]], self.keys[1, slot[first]] = h[first], check[first]
+            self.at[slot[first]], self.size[slot[first]] = starts, sizes
+            group = np.cumsum(new) - 1
+            at[order], size[order] = starts[group], sizes[group]
+        ends = np.cumsum(size)
+        flat = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(at - (ends - size), size)
+        return self.ids[flat], size
+
+
+# The fast path covers characters up to here (Latin, Greek, Cyrillic, Armenian); texts with others,
+# with apostrophes (contractions) or special tokens' strings take the tokenizer's own way.
+_PLAIN = 0x0590
+
+
+def _character_kinds() -> np.ndarray:
+    """0 white space, 1 letter, 2 number, 3 other, by code point."""
+    import regex
+
+    kinds = np.full(_PLAIN, 3, dtype=np.uint8)
+    for kind, pattern in ((1, r"\p{L}"), (2, r"\p{N}"), (0, r"\p{White_Space}")):
+        kinds[[i for i in range(_PLAIN) if regex.match(pattern, chr(i))]] = kind
+    return kinds
+
+
 class Encoder:
-    """Token ids of texts, special tokens' strings being ordinary text.
+    """Token ids of texts as the tokenizer file gives them, without added special tokens.
 
-    Where the same vocabulary lies beside the file as byte ranks, those are used: they give the
-    same ids several times faster.
+    Strings of special tokens in a text are those tokens, as for the tokenizer. Where the same
+    vocabulary lies beside the file as byte ranks, texts are cut into the words of its pattern by
+    numpy, and every different word is encoded once: the same ids several times faster.
     """
 
     def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        self.whole = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+        self.kind = np.uint16 if tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         ranks = path.removesuffix(".json") + ".tiktoken"
+        self.pieces = None
         if os.path.exists(ranks):
             import public_tokenizers
             import tiktoken
 
             with open(ranks, "rb") as f:
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-            self.ids = tiktoken.Encoding(
-                "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={}
-            ).encode_ordinary
-        else:
-            from tokenizers import Tokenizer
+            words = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
+            self.pieces = Pieces(words.encode_ordinary)
+            self.kinds = _character_kinds()
 
-            tokenizer = Tokenizer.from_file(path)
-            tokenizer.encode_special_tokens = True
-            self.ids = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+    def _plain(self, text: str) -> bool:
+        if self.pieces is None or "'" in text or any(s in text for s in self.special):
+            return False
+        return text.isascii() or np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).max() < _PLAIN
 
     def encode(self, text: str) -> np.ndarray:
         """The ids with the end id."""
-        return np.array(self.ids(text) + [END] if text else [END], dtype=np.uint32)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text, with the end id."""
+        out: list[np.ndarray] = [None] * len(texts)
+        held, size = [], 0
+        for i, text in enumerate(texts):
+            if not text or not self._plain(text):
+                out[i] = np.array([*(self.whole(text) if text else ()), END], dtype=np.uint32)
+                continue
+            held.append(i)
+            size += len(text)
+            if size > CHUNK:
+                self._encode_plain(texts, held, out)
+                held, size = [], 0
+        if held:
+            self._encode_plain(texts, held, out)
+        return out
+
+    def _encode_plain(self, texts: list[str], held: list[int], out: list[np.ndarray]) -> None:
+        joined = "".join(texts[i] for i in held)
+        codes = np.frombuffer(joined.encode("utf-16-le"), dtype=np.uint16)
+        lengths = np.array([len(texts[i]) for i in held])
+        begins = np.concatenate(([0], np.cumsum(lengths)[:-1]))
+        start = self._starts(codes, begins)
+        at = np.flatnonzero(start)
+        ends = np.append(at[1:], len(codes))
+        hashes = []
+        for values, base in ((_CODE_VALUE, _BASE), (_CODE_CHECK, _CHECK)):
+            run = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values[codes] * _power(base, len(codes)), dtype=np.uint64)))
+            back = _power(pow(base, -1, 2**64), len(codes))
+            hashes.append(mix((run[ends] - run[at]) * back[at]))
+        ids, size = self.pieces.look_up(*hashes, lambda i: joined[at[i] : ends[i]])
+        last = np.cumsum(size)[np.append(np.searchsorted(at, begins[1:]), len(at)) - 1]
+        for i, part in zip(held, np.split(ids, last[:-1])):
+            out[i] = np.append(part, np.uint32(END))
+
+    def _starts(self, codes: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """Where words begin, by the pattern: runs of letters, numbers or other signs with one
+        space before them; white space before that is a word, and so is white space at the end."""
+        kind = self.kinds[codes]
+        space = kind == 0
+        begin = np.zeros(len(codes), dtype=bool)
+        begin[begins] = True
+        start = begin.copy()
+        start[1:] |= kind[1:] != kind[:-1]
+        # The last of white space before a word: on its own, or part of the word if it is a space.
+        last = space[:-1] & ~space[1:] & ~begin[1:]
+        start[:-1] |= last
+        start[1:] &= ~(last & (codes[:-1] == 32))
+        return start
 
 
 def idf(df: np.ndarray, n: int) -> np.ndarray:
@@ -199,18 +328,18 @@ _SCHEMA = "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, seq
 _COLUMNS = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
 
-def _documents(column: pa.Array) -> list[np.ndarray]:
-    flat, at = column.flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(column.value_lengths().to_numpy())))
-    return [flat[a:b] for a, b in zip(at[:-1], at[1:])]
+def _documents(column: pa.Array, kind: np.dtype) -> list[np.ndarray]:
+    """The ids of each document; they travel as little-endian bytes, two or four to an id."""
+    return [np.frombuffer(b, dtype=kind) for b in column.to_pylist()]
 
 
-def _statistics(encoded: DataFrame) -> tuple[np.ndarray, float, int]:
+def _statistics(encoded: DataFrame, kind: np.dtype) -> tuple[np.ndarray, float, int]:
     """Weight by token, mean length and tokens of all documents (one number a token of the vocabulary)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, df, total = 0, np.zeros(1, dtype=np.int64), 0
         for batch in batches:
-            for ids in _documents(batch.column(0)):
+            for ids in _documents(batch.column(0), kind):
                 words = np.unique(ids[:-1])
                 if len(words):
                     if words[-1] >= len(df):
@@ -248,30 +377,55 @@ def packed(docs: DataFrame, path: str | None = None, with_ids: bool = False) ->
     """
     place = path or tokenizer_path()
     spark = docs.sparkSession
+    kind = np.dtype(Encoder(place).kind).newbyteorder("<")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(place)
         for batch in batches:
-            ids = [encoder.encode(text or "") for text in batch.column(2).to_pylist()]
-            at = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int32)
-            flat = pa.array(np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, dtype=np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.ListArray.from_arrays(at, flat)], names=["row", "doc_id", "ids"]
-            )
+            ids = encoder.encode_all([text or "" for text in batch.column(2).to_pylist()])
+            held = pa.array([i.astype(kind).tobytes() for i in ids], type=pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), held], names=["row", "doc_id", "ids"])
 
     src = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
     )
-    encoded = written(src.mapInArrow(encode, "row bigint, doc_id bigint, ids array<int>"), "packing-ids")
-    table, mean, total = _statistics(encoded)
+    encoded = written(src.mapInArrow(encode, "row bigint, doc_id bigint, ids binary"), "packing-ids")
+    table, mean, total = _statistics(encoded, kind)
+    partitions = max(1, total // PARTITION_TOKENS)
     model = spark.sparkContext.broadcast(table)
 
-    def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keys(batch: pa.RecordBatch) -> list[tuple]:
+        """What documents are ordered by: their leads, then a number made of their ids."""
         weight, df = model.value
+        found = _documents(batch.column("ids"), kind)
+        return [(*leads(*np.unique(ids[:-1], return_counts=True), weight, df), zlib.crc32(ids.tobytes())) for ids in found]
+
+    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [leads(*np.unique(ids[:-1], return_counts=True), weight, df) for ids in _documents(batch.column(2))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, type=pa.list_(pa.int32()))], names=["row", "doc_id", "ids", "lead"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys(batch), type=pa.list_(pa.int64()))], names=["key"])
+
+    # Where the order is cut: quantiles of a sample of documents, as a range partitioning takes them.
+    cuts: list[tuple] = []
+    if partitions > 1:
+        documents = encoded.count()
+        some = encoded.sample(min(1.0, SAMPLED * partitions / documents), seed=7).select("ids")
+        points = sorted(tuple(r.key) for r in some.mapInArrow(sampled, "key array<bigint>").collect())
+        cuts = [points[len(points) * i // partitions] for i in range(1, partitions)] if points else []
+    cut_at = spark.sparkContext.broadcast(cuts)
+
+    def place_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = keys(batch)
+            # A text that many documents repeat is the cut of several parts: its copies are dealt over them.
+            part = [
+                low if (low := bisect.bisect_left(cut_at.value, k)) == (high := bisect.bisect_right(cut_at.value, k)) else low + r % (high - low + 1)
+                for k, r in zip(key, batch.column("row").to_pylist())
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("ids"), pa.array(part, pa.int32()), pa.array(key, pa.list_(pa.int64())), batch.column("row")],
+                names=["doc_id", "ids", "part", "key", "row"],
+            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         partition, sequence = TaskContext.get().partitionId(), 0
@@ -301,9 +455,9 @@ def packed(docs: DataFrame, path: str | None = None, with_ids: bool = False) ->
             return pa.RecordBatch.from_arrays(columns, names=["doc_id", *_COLUMNS, *["ids"] * with_ids])
 
         for batch in batches:
-            for row, ids in zip(batch.column(0).to_pylist(), _documents(batch.column(1))):
+            for row, ids in zip(batch.column(0).to_pylist(), _documents(batch.column(1), kind)):
                 held_rows.append(row)
-                held.append(ids.copy())
+                held.append(ids)
                 size += len(ids)
                 if size >= SHARD_TOKENS:
                     yield flush()
@@ -311,8 +465,7 @@ def packed(docs: DataFrame, path: str | None = None, with_ids: bool = False) ->
         if held:
             yield flush()
 
-    led = encoded.mapInArrow(lead, "row bigint, doc_id bigint, ids array<int>, lead array<int>")
-    order = [*[F.get("lead", F.lit(i)) for i in range(LEADS + 1)], F.xxhash64("ids"), F.col("doc_id"), F.col("row")]
-    # Whole shards, so that what lies side by side is cut as seldom as can be.
-    dealt = led.repartitionByRange(max(1, total // SHARD_TOKENS), *order).sortWithinPartitions(*order)
+    led = encoded.mapInArrow(place_of, "doc_id bigint, ids binary, part int, key array<bigint>, row bigint")
+    order = [*[F.get("key", F.lit(i)) for i in range(LEADS + 2)], F.col("doc_id"), F.col("row")]
+    dealt = led.repartitionById(partitions, "part").sortWithinPartitions(*order)
     return dealt.select("doc_id", "ids").mapInArrow(run, f"doc_id bigint, {_SCHEMA}" + (", ids array<bigint>" if with_ids else ""))

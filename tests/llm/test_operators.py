@@ -185,7 +185,6 @@ def test_packing_round_trip(odd_docs, no_docs):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(packing.tokenizer_path())
-    tokenizer.encode_special_tokens = True
     want = sorted(
         [*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 1] for r in odd_docs.select("text").collect()
     )
@@ -204,6 +203,37 @@ def test_packing_round_trip(odd_docs, no_docs):
     assert packing.packed(no_docs).count() == 0
 
 
+def test_encoder_gives_the_tokenizers_ids():
+    """Random strings of signs that words are cut at, special tokens and characters of every plane."""
+    import random
+
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
+    draw = random.Random(4)
+    signs = ["abcXYZéñßЖω 12٣½  \t\n\r\x0b\x1c\x85\xa0!?.,-'_“€ 漢😀\x00\u0301", "abcXYZéñß  12½ \n\t\xa0\x85\x1c\x1f!?.,ÀЖω·՚"]
+    texts = ["".join(draw.choice(s) for _ in range(draw.randint(0, 50))) for s in signs for _ in range(3000)]
+    texts += ["Hi <|endoftext|> x", "<|endoftext|>", " ", "\n", " a", "a ", "  a", "\n\na", "it's we'll", "x" * 5000]
+    encoder = packing.Encoder(packing.tokenizer_path())
+    encoder.pieces.SLOTS = 1 << 6  # most entries are replaced again and again
+    encoder.pieces.reset()
+    for _ in range(2):
+        got = encoder.encode_all(texts)
+        assert [g.tolist() for g in got] == [[*tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+
+
+def test_packing_of_many_equal_texts(spark, monkeypatch):
+    """Copies of one text are dealt over several parts; every row is packed once."""
+    monkeypatch.setattr(packing, "PARTITION_TOKENS", 4096)
+    rows = [(i, "the same words again and again " * 20 if i % 3 else f"other words {i} " * 20) for i in range(300)]
+    pieces = packing.packed(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)).collect()
+    whole = {}
+    for p in pieces:
+        whole[p.doc_id] = whole.get(p.doc_id, 0) + p.length
+    assert sorted(whole) == list(range(300)) and all(whole[p.doc_id] == p.doc_tokens for p in pieces)
+    assert len({p.sequence_id >> 36 for p in pieces if p.doc_id % 3}) > 2
+
+
 def test_packing_takes_lexical_neighbours():
     terms = [np.array(t) for t in ([1, 2, 3], [7, 8, 9], [1, 2, 4], [7, 8, 5], [20, 21], [30, 31], [40, 41])]
     windows = packing.pack(np.array([1000, 1000, 1048, 1048, 5, 5, 5]), terms)
