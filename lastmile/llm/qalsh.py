@@ -10,8 +10,11 @@ A query opens a window of half-width R around its own projection on every line a
 for every vector, on how many lines it lies inside; vectors with ``THRESHOLD`` of all lines are
 verified with their true distance. Then R grows (virtual rehashing: the windows widen, nothing
 is hashed again, and only the new parts of the windows are counted) until the k-th verified
-distance is at most R. A vector at distance R collides with a chance of 0.68 per line, so
-the share of neighbours missed is that of a binomial below the threshold. The windows end up
+distance is at most R. R begins at ``START`` of a distance that the shard measures once: the median,
+over ``PROBES`` of its vectors, of the distance to their k-th nearest among ``PROBED`` others, so few
+steps are needed. A vector at distance R collides with a chance of 0.68 per line, so the share
+of neighbours missed is that of a binomial below the threshold; verifying is a matrix product
+and cheaper than counting, so lines are few and the threshold low. The windows end up
 covering a whole shard if it has fewer than k vectors, so none is missed then.
 
 Queries meet each shard in blocks of ``QUERY_BLOCK``; each shard returns its k best for each,
@@ -32,9 +35,11 @@ from pyspark.sql import functions as F
 from lastmile.llm import vectors
 from lastmile.llm.store import written
 
-PROJECTIONS = 96
-THRESHOLD = 0.6
+PROJECTIONS = 24
+THRESHOLD = 0.54
 GROWTH = 1.15
+START = 0.9
+PROBES, PROBED = 32, 2048
 SHARD = 16384
 QUERY_BLOCK = 4096
 
@@ -48,19 +53,31 @@ class Shard:
         lines = np.random.default_rng(x.shape[1]).normal(size=(x.shape[1] + 1, PROJECTIONS))
         self.lines = lines[:-1]
         values = x @ self.lines + np.sqrt(np.maximum(largest - square, 0))[:, None] * lines[-1]
-        order = np.argsort(values, axis=0, kind="stable").astype(np.int32)
+        order = np.argsort(values, axis=0, kind="stable")
         self.order = np.ascontiguousarray(order.T)
         self.sorted = np.ascontiguousarray(np.take_along_axis(values, order, axis=0).T)
 
-    def search(self, q: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and inner products of the k best found, best first, ties to the smaller id."""
+    def first_radius(self, k: int) -> float:
+        """A radius about which the k nearest of a vector lie, from a few of the shard's vectors."""
+        n = len(self.x)
+        probes = self.x[:: max(1, n // PROBES)][:PROBES]
+        others = self.x[:: max(1, n // PROBED)]
+        near = probes @ others.T
+        # The k-th of the shard is about this one of the sample (itself included).
+        nth = min(len(others) - 1, max(1, round(k * len(others) / n)))
+        kth = np.partition(near, len(others) - 1 - nth, axis=1)[:, len(others) - 1 - nth]
+        square = (probes * probes).sum(axis=1) + self.largest - 2 * kth
+        return START * math.sqrt(max(float(np.median(square)), 1e-12 * self.largest))
+
+    def search(self, q: np.ndarray, own: int, k: int, radius: float) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and inner products of the k best found, best first, ties to the smaller id; the first
+        windows have half-width ``radius``."""
         n = len(self.ids)
         at = q @ self.lines
         base = float(q @ q) + self.largest
         need = math.ceil(THRESHOLD * PROJECTIONS)
         count = np.zeros(n, dtype=np.int64)
         best = np.full(n, -np.inf)
-        radius = 0.25 * math.sqrt(base)
         low = high = np.array([np.searchsorted(s, v) for s, v in zip(self.sorted, at)])
         open_ = True
         while open_:
@@ -110,12 +127,14 @@ def nearest(table: DataFrame, queries: Column, k: int = 20) -> DataFrame:
     non-finite components, take no part; vectors of different lengths do not meet. Ties go
     to the smaller vec_id. A query without candidates has no row. Other columns are not read.
     """
+    # Components keep their precision: float stays float, everything else is read as double.
+    kind = "array<float>" if table.schema["embedding"].dataType.simpleString() == "array<float>" else "array<double>"
     src = table.select(
-        F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"),
+        F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast(kind).alias("embedding"),
         F.coalesce(queries, F.lit(False)).alias("is_query"),
     ).filter("vec_id is not null")
     valid = written(
-        src.mapInArrow(_valid, "vec_id bigint, embedding array<float>, is_query boolean, dims int, square double"),
+        src.mapInArrow(_valid, f"vec_id bigint, embedding {kind}, is_query boolean, dims int, square double"),
         "qalsh-vectors",
     )
     sizes = valid.groupBy("dims").agg(
@@ -142,8 +161,9 @@ def nearest(table: DataFrame, queries: Column, k: int = 20) -> DataFrame:
         left = left.sort_values("vec_id", kind="stable")
         shard = Shard(left["vec_id"].to_numpy(), stack(left), float(left["largest"].iloc[0]))
         out: list[tuple[int, np.ndarray, np.ndarray]] = []
+        radius = shard.first_radius(k)
         for i, q in zip(right["vec_id"].to_numpy(), stack(right)):
-            out.append((i, *shard.search(q, i, k)))
+            out.append((i, *shard.search(q, i, k, radius)))
         return pd.DataFrame({
             "query_id": np.repeat([o[0] for o in out], [len(o[1]) for o in out]),
             "vec_id": np.concatenate([o[1] for o in out]), "score": np.concatenate([o[2] for o in out]),
