@@ -8,16 +8,20 @@ smallest hash of their id; one half gives the typical words, the other the bin c
 Only ids, the ``LEXICON`` words of each domain and bin counts reach the driver.
 
 Document d with t tokens (words) and posterior p gives domain k an expected r t p_k tokens at
-rate r. The rates solve least squares for the targets T under r >= 0 by projected
-gradient, starting from rate 1, in the norm that weighs a document by its tokens: the step is
-r <- max(0, r - p y) with y = G^-1 (sum of r t p - T) and G = sum of t p p' over the documents
-whose rate is positive. Every step is one aggregation of a written table of (t, p) that
-returns a few numbers per pair of domains; a rate is a chain of the steps so far, so nothing but the steps is kept. A rate above 1 repeats a
-document, its fraction is decided by a hash of the id.
+rate r. The rates are least squares, nearest to 1 in the norm that weighs a document by its tokens,
+with the squared miss of a target weighed ``1 / COMPROMISE`` times as much, in parts of the domain's
+present tokens: at multipliers y the
+best rate is 1 - p y, projected on 0 .. ``MAX_RATE``, so the state is one number a domain. Each step
+of the projected gradient (sum of r t p - T, scaled by G = sum of t p p' over the documents inside
+the bounds) is one aggregation of a written table of (t, p); a step that does not lower the objective
+enough is halved, and the steps end where the gradient is 0, so they cannot diverge. Targets out of
+reach are missed, with a warning, not chased by rates without bound. A rate above 1 repeats a
+document, its fraction is decided by a hash of id and text.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 
 import numpy as np
@@ -28,8 +32,11 @@ from lastmile.llm.store import written
 
 SAMPLE_ROWS = 20_000
 LEXICON = 100
-STEPS = 12
+STEPS = 60
 TOLERANCE = 1e-6
+MAX_RATE = 100.0
+MISSED = 0.01
+COMPROMISE = 1e-5
 
 DOMAIN = "case when toxic = 1 then 'toxic' when quality = 0 then 'low' when quality = 1 then 'good' end"
 TARGETS = {"good": 0.85, "low": 0.10, "toxic": 0.05}
@@ -117,6 +124,7 @@ def learn(docs: DataFrame, labels: DataFrame, domain: str = DOMAIN, rows: int =
     chosen = docs.select("doc_id").distinct().join(marks, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     sample = written(
         docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most ``rows`` rows of two short columns
+        .groupBy("doc_id", "domain").agg(F.min("text").alias("text"))  # one text per doc_id
         .select("text", "domain", (F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(2)) == 0).alias("first")),
         "mixing-sample",
     )
@@ -135,44 +143,67 @@ def learn(docs: DataFrame, labels: DataFrame, domain: str = DOMAIN, rows: int =
     )
 
 
-def _rate(steps: list[list[float]]) -> Column:
-    r = F.lit(1.0)
-    for y in steps:
-        move = sum((F.get("__p", F.lit(k)) * v for k, v in enumerate(y)), F.lit(0.0))
-        r = F.greatest(F.lit(0.0), r - move)
-    return r
+def _rate(y: list[float]) -> Column:
+    """The rate of a row at the multipliers ``y``: 1 less its share of them, projected on the bounds."""
+    move = sum((F.get("__p", F.lit(k)) * v for k, v in enumerate(y)), F.lit(0.0))
+    return F.least(F.lit(MAX_RATE), F.greatest(F.lit(0.0), 1.0 - move))
 
 
-def solve(soft: DataFrame, domains: list[str], targets: Mapping[str, float]) -> list[list[float]]:
-    """The steps of the rates for rows (__t, __p): one vector per step. Targets of domains
-    without any token are dropped and the others scaled up; without tokens there are no steps."""
+def solve(soft: DataFrame, domains: list[str], targets: Mapping[str, float]) -> tuple[list[float], float]:
+    """The multipliers of the rates for rows (__t, __p), and the largest share of all tokens by which
+    a domain then misses its target.
+
+    The rates are the nearest to 1 (least squares, weighted by tokens) whose expected domain tokens
+    meet the targets, up to the compromise of both squared errors and as far as rates between 0
+    and ``MAX_RATE`` can. Targets of domains without any token are dropped and the others scaled
+    up; without tokens the rates are 1.
+    """
     k = len(domains)
     p = [F.get("__p", F.lit(i)) for i in range(k)]
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
 
-    def measured(steps: list[list[float]]) -> tuple[np.ndarray, np.ndarray]:
-        """Expected tokens per domain at the present rates, and G of the rows with a rate."""
-        r = _rate(steps)
-        at = soft.withColumn("r", r)
-        held = F.when(F.col("r") > 0, F.col("__t")).otherwise(0.0)
-        row = at.agg(*[F.sum(F.col("r") * F.col("__t") * q) for q in p], *[F.sum(held * p[i] * p[j]) for i, j in pairs]).first()
+    def measured(y: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """Expected tokens per domain, G of the rows inside the bounds, and the rows' part of the objective."""
+        at = soft.withColumn("r", _rate([float(v) for v in y]))
+        inside = F.when((F.col("r") > 0) & (F.col("r") < MAX_RATE), F.col("__t")).otherwise(0.0)
+        # The conjugate of half the squared distance from 1 within the bounds.
+        free = 1.0 - sum((q * float(v) for q, v in zip(p, y)), F.lit(0.0))
+        part = F.col("__t") * (F.col("r") * free - F.col("r") * F.col("r") / 2)
+        row = at.agg(*[F.sum(F.col("r") * F.col("__t") * q) for q in p], *[F.sum(inside * p[i] * p[j]) for i, j in pairs], F.sum(part)).first()
         numbers = [v or 0.0 for v in row]
         gram = np.zeros((k, k))
-        for (i, j), v in zip(pairs, numbers[k:]):
+        for (i, j), v in zip(pairs, numbers[k:-1]):
             gram[i, j] = gram[j, i] = v
-        return np.array(numbers[:k]), gram + 1e-9 * (np.trace(gram) + 1e-300) * np.eye(k)
+        return np.array(numbers[:k]), gram, numbers[-1]
 
-    have, gram = measured([])
+    y = np.zeros(k)
+    have, gram, part = measured(y)
     total = have.sum()
     want = np.array([max(targets.get(d, 0.0), 0.0) for d in domains]) * (have > 1e-9 * max(total, 1e-300))
     if total <= 0 or want.sum() <= 0:
-        return []
+        return [], 0.0
     want = want / want.sum() * total
-    steps: list[list[float]] = []
-    while len(steps) < STEPS and abs(have - want).max() > TOLERANCE * total:
-        steps.append([float(f"{v:.9g}") for v in np.linalg.solve(gram, have - want)])
-        have, gram = measured(steps)
-    return steps
+    # The objective stays bounded where the targets cannot be met; a miss weighs by what the domain
+    # holds at present, so one of few tokens is not passed over.
+    soften = COMPROMISE * np.maximum(have, 1e-9 * total)
+    objective = lambda part, y: part + want @ y + soften @ (y * y) / 2
+    for _ in range(STEPS):
+        slope = want - have + soften * y
+        if (abs(slope) <= TOLERANCE * np.maximum(want, soften / COMPROMISE)).all():
+            break
+        # Full step of the rows inside the bounds; with none inside, of all rows.
+        scale = gram if np.trace(gram) > 1e-9 * total else total * np.eye(k)
+        step = -np.linalg.solve(scale + np.diag(soften), slope)
+        size, now = 1.0, objective(part, y)
+        while True:
+            tried = np.array([float(f"{v:.12g}") for v in y + size * step])
+            have_t, gram_t, part_t = measured(tried)
+            # Taken only if it lowers the objective enough, else halved.
+            if objective(part_t, tried) <= now + 1e-4 * size * (slope @ step) + 1e-12 * abs(now) or size < 1e-6:
+                break
+            size /= 2
+        y, have, gram, part = tried, have_t, gram_t, part_t
+    return [float(v) for v in y], float(abs(have - want).max() / total)
 
 
 def rates(
@@ -183,7 +214,8 @@ def rates(
     The expected tokens of the copies meet ``targets`` (shares of the present number of tokens)
     as far as nonnegative rates can. Null or empty text: 0 tokens, which count nowhere; its
     rate follows from its posterior like any other. No labelled document, or no token:
-    rate 1. Rows repeated under one doc_id get the same rate and copies. Columns named
+    rate 1. Rates never exceed ``MAX_RATE``; a target that is missed by more than ``MISSED`` of all
+    tokens gives a warning. Rows of the same doc_id and text get the same rate and copies. Columns named
     rate or copies, or beginning with two underscores, are replaced.
     """
     model = learn(docs, labels, domain)
@@ -194,9 +226,12 @@ def rates(
         # Written with the rows: the classifier runs once, and the plans of the steps and of the
         # rates stay small.
         scored = written(model.posteriors(docs), "mixing-posteriors")
-        steps = solve(scored.select("__t", "__p"), model.domains, targets)
-        out = scored.withColumn("rate", _rate(steps))
-    part = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("mixing")), F.lit(1 << 40)) / float(1 << 40)
+        multipliers, missed = solve(scored.select("__t", "__p"), model.domains, targets)
+        if missed > MISSED:
+            warnings.warn(f"the mixture misses a target by {missed:.3f} of all tokens: no rates up to {MAX_RATE:g} meet it", stacklevel=2)
+        out = scored.withColumn("rate", _rate(multipliers))
+    # Decided by id and text, so rows that share an id (or have none) are not all left out together.
+    part = F.pmod(F.xxhash64(F.col("doc_id"), F.col("text"), F.lit("mixing")), F.lit(1 << 40)) / float(1 << 40)
     whole = F.floor("rate")
     return out.withColumn("copies", (whole + (part < F.col("rate") - whole).cast("int")).cast("int"))
 
