@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lastmile.llm.store import written
-from lastmile.llm.textops import LETTERS, Grams, Tally, chunks, mix, utf8, with_fields
+from lastmile.llm.textops import LETTERS, Grams, Tally, chunks, mix, text_once, utf8, with_fields
 
 GRAM = 4
 SHARE = 0.2
@@ -71,14 +71,16 @@ class LanguageFilter:
     def parts(self) -> tuple:
         return self.languages, self.masks, self.false_hit, self.default
 
-    def predict(self, texts: list[bytes]) -> tuple[list[str], np.ndarray]:
-        names, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+    def predict(self, texts: list[bytes]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language, score and number of n-grams of each text."""
+        names, score, counted = [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), dtype=np.int64)
         if not self.languages:
-            return names, score
+            return names, score, counted
         kind = np.dtype(np.uint8 if len(self.languages) <= 8 else np.uint64)
         for first, docs in chunks(texts):
             g, use = _grams(docs)
             total = g.sums(use)
+            counted[first : first + len(docs)] = total
             found = np.zeros(len(g.codes), dtype=kind)
             hit = np.full(int(use.sum()), np.iinfo(kind).max, dtype=kind)
             for s in slots(g.codes[use]):
@@ -92,7 +94,7 @@ class LanguageFilter:
                 if has_letter(doc):
                     score[first + d] = s = share[d, best[d]]
                     names[first + d] = self.languages[best[d]] if s > 0 else self.default
-        return names, score
+        return names, score, counted
 
 
 def _count(batches: Iterator[pa.RecordBatch], languages: list[str]) -> Iterator[pa.RecordBatch]:
@@ -159,7 +161,11 @@ def learn(docs: DataFrame, chosen: Column) -> LanguageFilter:
 
 
 def identify(docs: DataFrame, chosen: Column, passed: tuple[str, ...] = ()) -> DataFrame:
-    """(passed columns, lang_pred, score) for every row of ``docs`` (text, lang).
+    """(passed columns, lang_pred, score, n_grams) for every row of ``docs`` (text, lang).
+
+    ``n_grams`` is how many n-grams were asked for: a text of one-letter words has letters but no
+    n-gram that counts, so its language is a guess. ``passed`` may hold ``text``. A passed column
+    named like a result is an error.
 
     ``chosen`` marks the rows to learn from. Null, empty or letterless text: ``und``, score 0.
     A text with letters of which no n-gram is known: the language with most learned rows,
@@ -167,13 +173,13 @@ def identify(docs: DataFrame, chosen: Column, passed: tuple[str, ...] = ()) -> D
     other than text, lang and ``passed`` are not read.
     """
     model = docs.sparkSession.sparkContext.broadcast(learn(docs, chosen).parts())
-    names = [*passed, "lang_pred", "score"]
+    names = [*passed, "lang_pred", "score", "n_grams"]
+    src, text_at = text_once(docs, passed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lang, score = LanguageFilter(*model.value).predict(utf8(batch.column(len(passed))))
+            lang, score, counted = LanguageFilter(*model.value).predict(utf8(batch.column(text_at)))
             own = [batch.column(i) for i in range(len(passed))]
-            yield pa.RecordBatch.from_arrays([*own, pa.array(lang, type=pa.string()), pa.array(score)], names=names)
+            yield pa.RecordBatch.from_arrays([*own, pa.array(lang, type=pa.string()), pa.array(score), pa.array(counted)], names=names)
 
-    src = docs.select(*passed, F.col("text").cast("string"))
-    return src.mapInArrow(run, with_fields(src, passed, "lang_pred string, score double"))
+    return src.mapInArrow(run, with_fields(src, passed, "lang_pred string, score double, n_grams bigint"))

@@ -204,15 +204,16 @@ def fit(x: np.ndarray, y: np.ndarray) -> AdditiveModel:
 
 
 def learn(docs: DataFrame, labels: DataFrame, train: Column, rows: int = SAMPLE_ROWS) -> AdditiveModel:
-    """Fit on the labelled rows of ``docs`` with ``train`` true, at most ``rows`` of them."""
+    """Fit on the labelled documents of ``docs`` with ``train`` true, at most ``rows`` of them, one text
+    per doc_id (the smallest), however many rows share it."""
     marks = labels.filter("quality is not null").groupBy("doc_id").agg(F.min(F.col("quality").cast("int")).alias("quality"))
     chosen = (
-        docs.filter(train).select("doc_id").join(marks, "doc_id")
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select("doc_id", "quality").distinct()
+        docs.filter(train).select("doc_id").distinct().join(marks, "doc_id")
+        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select("doc_id", "quality")
     )
     labelled = docs.filter(train).select("doc_id", F.col("text").cast("string").alias("text")).join(
         F.broadcast(chosen), "doc_id"  # at most ``rows`` rows of two numbers
-    )
+    ).groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -127,6 +127,14 @@ def with_fields(df: DataFrame, passed: tuple[str, ...], more: str) -> T.StructTy
     return T.StructType([*[df.schema[c] for c in passed], *fields])
 
 
+def text_once(docs: DataFrame, passed: tuple[str, ...]) -> tuple[DataFrame, int]:
+    """The passed columns and the text of ``docs``, and where the text is: a text that is passed on
+    is not sent to the tasks a second time."""
+    if "text" in passed:
+        return docs.select(*passed), passed.index("text")
+    return docs.select(*passed, F.col("text").cast("string").alias("text")), len(passed)
+
+
 def crc_remainder(doc_id: str | Column, modulus: int) -> Column:
     """crc32 of the id written as text, modulo ``modulus``; a null id counts as empty text."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

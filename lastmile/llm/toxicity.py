@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lastmile.llm.store import written
-from lastmile.llm.textops import LETTERS, Tally, Words, chunks, mix, utf8, with_fields
+from lastmile.llm.textops import LETTERS, Tally, Words, chunks, mix, text_once, utf8, with_fields
 
 DISCOUNT = 0.75
 STRONG = 3.0
@@ -145,12 +145,14 @@ def _curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _chosen(texts: DataFrame, marks: DataFrame, fold: str, rows: int) -> DataFrame:
-    """(text, toxic) of at most ``rows`` labelled documents of a fold."""
+    """(text, toxic) of at most ``rows`` labelled documents of a fold, one text per doc_id (the
+    smallest), however many rows share it."""
     ids = (
         texts.filter(fold).select("doc_id").distinct().join(marks, "doc_id")
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     )
-    return texts.filter(fold).join(F.broadcast(ids), "doc_id").select("text", "toxic")
+    of = texts.filter(fold).join(F.broadcast(ids), "doc_id")  # at most ``rows`` rows of two numbers
+    return of.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("text", "toxic")
 
 
 def score(docs: DataFrame, labels: DataFrame, train: Column, calibrate: Column, passed: tuple[str, ...] = ()) -> DataFrame:
@@ -160,7 +162,8 @@ def score(docs: DataFrame, labels: DataFrame, train: Column, calibrate: Column,
     that fit the curve. Null or empty text, or one without letters: the curve at evidence 0. A
     document labelled more than once counts as toxic if any of its labels is 1; null
     labels are ignored. Without labelled rows of both classes the evidence of every text is 0.
-    Repeated rows stay repeated; other columns are not read.
+    Repeated rows stay repeated; other columns are not read. ``passed`` may hold ``text``; a passed
+    column named score is an error.
     """
     spark = docs.sparkSession
     marks = labels.filter("toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
@@ -181,12 +184,12 @@ def score(docs: DataFrame, labels: DataFrame, train: Column, calibrate: Column,
     points = points[np.lexsort(points.T)]
     curve = _curve(points[:, :3], points[:, 3])
     names = [*passed, "score"]
+    src, text_at = text_once(docs, passed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            z = evidence(utf8(batch.column(len(passed))), model.value) @ curve[:3] + curve[3]
+            z = evidence(utf8(batch.column(text_at)), model.value) @ curve[:3] + curve[3]
             p = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(passed))], pa.array(p)], names=names)
 
-    src = docs.select(*passed, F.col("text").cast("string"))
     return src.mapInArrow(run, with_fields(src, passed, "score double"))

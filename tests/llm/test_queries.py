@@ -12,6 +12,7 @@ sys.path.insert(0, os.path.join(ROOT, "scripts"))
 
 from check_oracle import compare, register_tables  # noqa: E402
 from lastmile.llm import oracle, queries  # noqa: E402
+from lastmile.llm.packing import Encoder, tokenizer_path  # noqa: E402
 
 
 @pytest.mark.parametrize("name", sorted(oracle.oracle_sql()))
@@ -31,10 +32,16 @@ def test_pipeline_stages(spark, odd_docs):
     from lastmile.llm.store import written
 
     docs, seen = odd_docs, []
-    for name, stage in C.STAGES[:3]:
+    for name, stage in C.STAGES[:4]:
         docs = written(stage(spark, docs, SF_SMALL), f"test-{name}")
         assert docs.columns == odd_docs.columns
         seen.append(sorted((r.doc_id or 0) for r in docs.select("doc_id").collect()))
+    # The last stage packs exactly what mixing kept, each row as often as it is there.
+    encoder = Encoder(tokenizer_path())
+    tokens = sum(len(encoder.encode(r.text)) for r in docs.collect())
+    packed = C.packing_stage(spark, docs, SF_SMALL).collect()
+    assert sum(p.length for p in packed) == tokens and set(seen[3]) <= set(seen[2])
+    assert {p.doc_id or 0 for p in packed} == set(seen[3])
     assert not {4, 5, 6, 7} & set(seen[0])
     assert {1, 8, 10} <= set(seen[2]) and 2 not in seen[2] and 3 not in seen[2] and seen[2].count(1) == 1
 
@@ -53,3 +60,12 @@ def test_mixing_stage_does_not_repeat_toxic(spark, tmp_dir):
     toxic = [i for i in out if kind[i] == "toxic"]
     assert len(toxic) == len(set(toxic)) and len(toxic) <= 2
     assert len({i for i in out if kind[i] == "good"}) > 200
+
+
+def test_pipeline_of_no_documents(spark, no_docs, tmp_dir):
+    """Empty documents and empty labels go through all stages."""
+    import corpus_pipeline as C
+
+    no_docs.write.parquet(f"{tmp_dir}/documents.parquet")
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_dir}/labels.parquet")
+    assert C.run(spark, tmp_dir).count() == 0
