@@ -5,7 +5,8 @@ shared folder and reads back as the next stage's documents. All stages but the l
 columns of ``documents``, with whatever further columns came in, whatever their names.
 
 1. language_id: documents go whose language cannot be told: without any letter, or with less than
-   ``MIN_LANGUAGE_SCORE`` of their letter sequences known in the language found.
+   ``MIN_LANGUAGE_SCORE`` of their letter sequences known in the language found. Documents whose
+   words have one letter each (formulas, tables) hold no such sequence and stay.
 2. toxicity: documents go whose toxicity score is 0.5 or more.
 3. near_dedup: one document of each group of near duplicates stays, the one of the smallest doc_id.
 4. mixing: documents are kept, left out or repeated so that the soft domains of the labels
@@ -29,14 +30,17 @@ TARGETS = {d: share for d, share in mixing.TARGETS.items() if d != "toxic"}
 
 
 def _rows(docs: DataFrame, *needed: str) -> DataFrame:
-    """Whole rows as one column, beside the columns an operator needs."""
+    """Whole rows but for the text as one column, beside the text and the columns an operator needs."""
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     at = {n: f"c{i}" for i, n in enumerate(docs.columns)}
-    return plain.select(F.struct(*plain.columns).alias("row"), *[F.col(at[n]).alias(n) for n in needed])
+    rest = [c for c in plain.columns if c != at["text"]]
+    return plain.select(F.struct(*rest).alias("row"), *[F.col(at[n]).alias(n) for n in ("text", *needed)])
 
 
 def _back(found: DataFrame, docs: DataFrame) -> DataFrame:
-    return found.select(*[F.col(f"row.c{i}").alias(n) for i, n in enumerate(docs.columns)])
+    return found.select(
+        *[(F.col("text") if n == "text" else F.col(f"row.c{i}")).alias(n) for i, n in enumerate(docs.columns)]
+    )
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,16 +48,17 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = _rows(docs, "doc_id", "text", "lang")
-    found = langid.identify(rows, crc_remainder("doc_id", 4) != 2, passed=("row",))
-    known = (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)
+    rows = _rows(docs, "doc_id", "lang")
+    found = langid.identify(rows, crc_remainder("doc_id", 4) != 2, passed=("row", "text"))
+    told = (F.col("score") >= MIN_LANGUAGE_SCORE) | (F.col("n_grams") == 0)
+    known = (F.col("lang_pred") != langid.UNDETERMINED) & told
     return _back(found.filter(known), docs)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     fold = crc_remainder("doc_id", 5)
     found = toxicity.score(
-        _rows(docs, "doc_id", "text"), _labels(spark, sf_dir), train=fold.isin(1, 2, 3), calibrate=fold == 4, passed=("row",)
+        _rows(docs, "doc_id"), _labels(spark, sf_dir), train=fold.isin(1, 2, 3), calibrate=fold == 4, passed=("row", "text")
     )
     return _back(found.filter("score < 0.5"), docs)
 
