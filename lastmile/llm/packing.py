@@ -19,7 +19,7 @@ true neighbours found). A shard is bounded by its token count (or one very long
 number of a sequence holds its partition.
 
 Token ids are those of the tokenizer file, and 1 after each document. The parts of the order are cut
-at quantiles of a sample of documents; equal texts, which no order parts, are dealt over the
+at quantiles, by tokens, of a sample of documents; equal texts, which no order parts, are dealt over the
 parts that their cuts span.
 """
 
@@ -228,7 +228,13 @@ class Index:
         doc = np.repeat(np.arange(n, dtype=np.int32), [len(t) for t in terms])
         word = np.concatenate(terms) if n else np.zeros(0, dtype=np.int64)
         tf = np.concatenate(counts).astype(np.float64) if counts else np.ones(len(word))
-        names, inverse, df = np.unique(word, return_inverse=True, return_counts=True)
+        # Token numbers are small: counted and renumbered by a table instead of a sort.
+        held = np.bincount(word.astype(np.int64)) if len(word) else np.zeros(0, dtype=np.int64)
+        names = np.flatnonzero(held)
+        df = held[names]
+        number = np.zeros(len(held), dtype=np.uint16 if len(names) <= 1 << 16 else np.int64)
+        number[names] = np.arange(len(names))
+        inverse = number[word]
         self.weight = idf(df, n) if weight is None else weight[names]
         useful = self.weight[inverse] > 0
         doc, inverse, tf = doc[useful], inverse[useful], tf[useful]
@@ -238,9 +244,8 @@ class Index:
         order = np.argsort(inverse, kind="stable")
         self.posting, self.tf = doc[order], tf[order]
         self.starts = np.searchsorted(inverse[order], np.arange(len(names) + 1))
-        order = np.argsort(doc, kind="stable")
-        self.term = inverse[order]
-        self.term_starts = np.searchsorted(doc[order], np.arange(n + 1))
+        self.term = inverse.astype(np.int64)  # documents are in order already
+        self.term_starts = np.searchsorted(doc, np.arange(n + 1))
         self.n = n
 
     def scores(self, seed: int) -> np.ndarray:
@@ -396,22 +401,25 @@ def packed(docs: DataFrame, path: str | None = None, with_ids: bool = False) ->
     model = spark.sparkContext.broadcast(table)
 
     def keys(batch: pa.RecordBatch) -> list[tuple]:
-        """What documents are ordered by: their leads, then a number made of their ids."""
+        """What documents are ordered by: their leads, then a number made of their ids; and that is
+        followed by their length, for the quantiles."""
         weight, df = model.value
         found = _documents(batch.column("ids"), kind)
-        return [(*leads(*np.unique(ids[:-1], return_counts=True), weight, df), zlib.crc32(ids.tobytes())) for ids in found]
+        return [(*leads(*np.unique(ids[:-1], return_counts=True), weight, df), zlib.crc32(ids.tobytes()), len(ids)) for ids in found]
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array(keys(batch), type=pa.list_(pa.int64()))], names=["key"])
 
-    # Where the order is cut: quantiles of a sample of documents, as a range partitioning takes them.
+    # Where the order is cut: quantiles of a sample of documents, by their tokens.
     cuts: list[tuple] = []
     if partitions > 1:
         documents = encoded.count()
         some = encoded.sample(min(1.0, SAMPLED * partitions / documents), seed=7).select("ids")
         points = sorted(tuple(r.key) for r in some.mapInArrow(sampled, "key array<bigint>").collect())
-        cuts = [points[len(points) * i // partitions] for i in range(1, partitions)] if points else []
+        before = np.cumsum([p[-1] for p in points])
+        at = np.searchsorted(before, [before[-1] * i / partitions for i in range(1, partitions)]) if points else []
+        cuts = [points[i] for i in at]
     cut_at = spark.sparkContext.broadcast(cuts)
 
     def place_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
