@@ -21,7 +21,7 @@ def shared_path(spark: SparkSession, name: str) -> str:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def written(df: DataFrame, name: str, drop_shuffles: bool = False) -> DataFrame:
+def written(df: DataFrame, name: str, drop_shuffles: bool = True) -> DataFrame:
     """``df`` written once as Parquet below the shared folder, read back.
 
     ``drop_shuffles`` lets Spark delete the shuffle files of this write as soon as it is done;

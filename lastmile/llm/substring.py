@@ -161,7 +161,6 @@ def _repeats(runs: DataFrame) -> DataFrame:
     classes = written(
         runs.groupBy("anchor", "words").agg(F.min("doc_id").alias("first"), F.any_value("windows").alias("windows")),
         "repeat-classes",
-        drop_shuffles=True,
     )
     # Only a seed with several classes can have a window in two of them.
     several = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1").select("anchor")
@@ -174,7 +173,7 @@ def _repeats(runs: DataFrame) -> DataFrame:
         .groupBy("anchor", "words").agg(F.collect_set("at").alias("places"))
     )
     verdicts = written(
-        classes.select("anchor", "words", "first").join(shared, ["anchor", "words"], "left"), "repeat-verdicts", drop_shuffles=True
+        classes.select("anchor", "words", "first").join(shared, ["anchor", "words"], "left"), "repeat-verdicts"
     )
     # A later document repeats the whole run; the first one what earlier classes hold.
     found = runs.select("doc_id", "k", "anchor", "words", "start", F.size("windows").alias("length")).join(
@@ -203,10 +202,10 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fal
     anchors = _seeds(named, window)
     several = anchors.groupBy("anchor").count().filter("count > 1").select("anchor")
     seeds = written(
-        anchors.join(several, "anchor").groupBy("k").agg(F.collect_set("anchor").alias("seeds")), "repeat-seeds", drop_shuffles=True
+        anchors.join(several, "anchor").groupBy("k").agg(F.collect_set("anchor").alias("seeds")), "repeat-seeds"
     )
-    runs = written(_read_runs(named.join(seeds, "k"), window), "repeat-runs", drop_shuffles=True)
-    starts = written(_repeats(runs), "repeat-starts", drop_shuffles=True)
+    runs = written(_read_runs(named.join(seeds, "k"), window), "repeat-runs")
+    starts = written(_repeats(runs), "repeat-starts")
     schema = T.StructType(
         [docs.schema["doc_id"]]
         + T.StructType.fromDDL(
