@@ -50,6 +50,7 @@ SHARD_TOKENS = 1 << 20
 PARTITION_TOKENS = 8 << 20  # several shards a task
 SAMPLED = 200  # documents sampled a partition to find where the order is cut
 CHUNK = 1 << 20  # characters encoded at a time
+ENCODED_ROWS = 1024  # documents of a batch whose texts and ids are held at a time
 K1 = 1.2
 B = 0.75
 
@@ -386,10 +387,12 @@ def packed(docs: DataFrame, path: str | None = None, with_ids: bool = False) ->
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(place)
-        for batch in batches:
-            ids = encoder.encode_all([text or "" for text in batch.column(2).to_pylist()])
-            held = pa.array([i.astype(kind).tobytes() for i in ids], type=pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), held], names=["row", "doc_id", "ids"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, ENCODED_ROWS):
+                batch = whole.slice(at, ENCODED_ROWS)
+                ids = encoder.encode_all([text or "" for text in batch.column(2).to_pylist()])
+                held = pa.array([i.astype(kind).tobytes() for i in ids], type=pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), held], names=["row", "doc_id", "ids"])
 
     src = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"),

@@ -33,7 +33,7 @@ def written(df: DataFrame, name: str, drop_shuffles: bool = True) -> DataFrame:
     if drop_shuffles:
         spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     finally:
         if drop_shuffles:
             spark.conf.set(_CLEANUP, before) if before is not None else spark.conf.unset(_CLEANUP)
