@@ -1,5 +1,7 @@
 """Label samples under a hot id, the mixing solver against brute force, precision of vectors."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -75,3 +77,43 @@ def test_scores_of_double_vectors_are_exact(spark):
     df = df.withColumns({"score": F.lit("other"), "rank": F.lit(0), "query_id": F.lit(1)})
     out = qalsh.nearest(df, queries=F.col("vec_id") % 20 == 0, k=5).collect()
     assert len(out) == 15 and all(r.score == pytest.approx(float((x[r.query_id] * x[r.vec_id]).sum()), rel=1e-15) for r in out)
+
+
+def test_toxicity_pair_model_against_plain_counts(spark):
+    """The evidence of every word, from the definition: pairs once a document, three levels."""
+    texts = [(f"the {w} fox {'runs over ' * (i % 4)}the {'grub' if i % 3 == 0 else 'dog'} snark", int(i % 3 == 0))
+             for i, w in enumerate(["red", "blue", "old", "red"] * 9)] + [(None, 1), ("", 0), ("12 .", 1)]
+    d = toxicity.DISCOUNT
+    pairs = Counter()
+    for text, c in texts:
+        words = "".join(x if x.isalpha() else " " for x in text or "").split()
+        pairs.update({(c, a, b) for a, b in zip([None, *words], words)})
+    low, ctx, lost = Counter(), Counter(), Counter()
+    for (c, a, b), n in pairs.items():
+        low[c, b] += min(n, d)
+        ctx[c, a] += n
+        lost[c, a] += min(n, d)
+    vocabulary = {b for _, b in low}
+    total = {c: sum(low[c, b] for b in vocabulary) for c in (0, 1)}
+    given = {c: sum(min(low[c, b], d) for b in vocabulary) for c in (0, 1)}
+
+    def chance(c, a, b):
+        shared = (sum(min(low[k, b], d) for k in (0, 1)) + 1) / (sum(given.values()) + len(vocabulary) + 1)
+        lower = max(low[c, b] - d, 0) / total[c] + given[c] / total[c] * shared
+        if not ctx[c, a]:
+            return lower
+        return max(pairs[c, a, b] - d, 0) / ctx[c, a] + lost[c, a] / ctx[c, a] * lower
+
+    shift = np.log(given[1] / total[1] / (given[0] / total[0]))
+    model = toxicity._models(spark.createDataFrame(texts, "text string, toxic int"))
+    assert len(model.pairs) > 3
+    for text in ("the red fox runs over the grub snark", "snark the dog", "grub blue unknown fox", "red"):
+        words = text.split()
+        want = [np.log(chance(1, a, b) / chance(0, a, b)) - shift if b in vocabulary else 0 for a, b in zip([None, *words], words)]
+        assert np.allclose(model.of_words(*toxicity._words([text.encode()])), want, atol=1e-5)
+
+
+def test_toxicity_sample_is_bounded_in_bytes(spark):
+    texts = spark.createDataFrame([(i, "x" * 100, True) for i in range(50)], "doc_id bigint, text string, fold boolean")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id bigint, toxic int")
+    assert toxicity._chosen(texts, marks, "fold", 50, 1000).count() == 10
