@@ -1,13 +1,14 @@
 """License scan with a positional rare-token index, in DataFrame expressions only.
 
-``TEMPLATES`` are license notices as word sequences, each with mandatory key phrases. Their
-words with offsets are the postings of a small index of fixed size. One pass over all texts
-counts in how many documents each template word occurs; a template is looked up by its word
-of highest inverse document frequency (ties: the earlier word). In a second pass each text is
-cut into words once; a text without any of the looked-up words is done. Otherwise every
-occurrence of a template's rare word, minus its offset, proposes a start; the
-template's other words are intersected at their relative places, and a start counts if all
-mandatory phrases stand there. The score of a match is the share of the template's
+``TEMPLATES`` are license notices as word sequences, each with mandatory key phrases. One pass over
+all texts counts in how many documents each mandatory word occurs. The index posts every template
+with an offset under its mandatory word of highest inverse document frequency (ties: the earlier
+word): a file that holds the template holds that word. Index and templates are constants of the
+plan, whose size grows with the templates alone and whose expressions do not repeat per template.
+In a second pass each text is cut into words once; a text without any of the looked-up words is
+done. Otherwise every occurrence of one, minus the posted offset, proposes a template and a start;
+the template's other words are intersected at their relative places, and a start counts
+if all mandatory phrases stand there. The score of a match is the share of the template's
 words that stand at their places.
 
 Everything about a document happens in its own row: no shuffle, no pairing, no hot key.
@@ -16,6 +17,7 @@ Words are runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` of the lower-cased te
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -77,43 +79,66 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), BREAKS), "")
 
 
+def _constant(words: Sequence[str]) -> Column:
+    """Words (none holds a space) as one constant array."""
+    return F.split(F.lit(" ".join(words)), " ")
+
+
 def document_frequency(words: DataFrame, vocabulary: list[str]) -> dict[str, int]:
     """In how many rows of ``words`` (an array column ``w``) each word of the vocabulary occurs."""
-    known = F.array(*[F.lit(v) for v in vocabulary])
+    known = _constant(vocabulary)
     found = words.select(F.explode(F.array_intersect("w", known)).alias("v")).groupBy("v").count()
     return {r[0]: r[1] for r in found.collect()}  # at most one row per template word
 
 
-def _standing(words: Column, start: Column, template: Template) -> Column:
-    """Number of the template's words that stand at their places, as seen from ``start``."""
-    total = None
-    for j, w in enumerate(template.words):
-        hit = F.coalesce((F.get(words, start + j) == w).cast("int"), F.lit(0))
-        total = hit if total is None else total + hit
-    return total
-
-
-def _starts(words: Column, hits: Column, rare: int, template: Template) -> Column:
-    """Starts of the template's matches: occurrences of its rare word, moved by its offset."""
-
-    def verified(s: Column) -> Column:
-        ok = s >= 0
-        for j in template.mandatory:
-            ok = ok & (F.get(words, s + j) == template.words[j])
-        return F.coalesce(ok, F.lit(False))
+def _index(templates: tuple[Template, ...], frequency: dict[str, int]) -> tuple[list[str], Column, Column]:
+    """The looked-up words, their postings and the templates, as constants of the plan.
 
-    own = F.filter(hits, lambda h: h["w"] == template.words[rare])
-    return F.filter(F.transform(own, lambda h: h["at"] - rare), verified)
-
-
-def _matches(words: Column, hits: Column, rare: int, t: Template) -> Column:
-    return F.transform(
-        _starts(words, hits, rare, t),
-        lambda s: F.struct(
-            F.lit(t.label).alias("label"), s.cast("bigint").alias("start"),
-            _standing(words, s, t).alias("standing"), F.lit(len(t.words)).alias("words"), F.lit(t.base).alias("base"),
-        ),
-    )
+    Postings: word -> (template number, offset). A template is posted under its mandatory word of
+    highest inverse document frequency, so a file's look-ups are of its rarest license words.
+    """
+    postings: dict[str, list[tuple[int, int]]] = {}
+    for k, t in enumerate(templates):
+        rare = min(t.mandatory, key=lambda j: (frequency.get(t.words[j], 0), j))
+        postings.setdefault(t.words[rare], []).append((k, rare))
+    anchors = sorted(postings)
+    lists = [
+        F.array(*[F.struct(F.lit(k).alias("t"), F.lit(j).alias("offset")) for k, j in postings[w]]) for w in anchors
+    ]
+    known = F.map_from_arrays(_constant(anchors), F.array(*lists))
+    notices = F.array(*[
+        F.struct(
+            F.lit(t.label).alias("label"), _constant(t.words).alias("words"),
+            F.expr(f"array({', '.join(map(str, t.mandatory))})").alias("must"), F.lit(t.base).alias("base"),
+        )
+        for t in templates
+    ])
+    return anchors, known, notices
+
+
+def _places(words: Column, hits: Column, postings: Column, notices: Column) -> Column:
+    """All matches in one text: proposed by its looked-up words, intersected at their relative places."""
+
+    def proposed(h: Column) -> Column:
+        return F.transform(
+            F.element_at(postings, h["w"]), lambda p: F.struct(p["t"].alias("t"), (h["at"] - p["offset"]).alias("start"))
+        )
+
+    def stands(c: Column) -> Column:
+        t = F.get(notices, c["t"])
+        return (c["start"] >= 0) & F.forall(
+            t["must"], lambda j: F.get(words, c["start"] + j).eqNullSafe(F.get(t["words"], j))
+        )
+
+    def match(c: Column) -> Column:
+        t = F.get(notices, c["t"])
+        standing = F.size(F.filter(t["words"], lambda x, j: F.get(words, c["start"] + j).eqNullSafe(x)))
+        return F.struct(
+            t["label"].alias("label"), c["start"].cast("bigint").alias("start"), standing.alias("standing"),
+            F.size(t["words"]).alias("words"), t["base"].alias("base"),
+        )
+
+    return F.transform(F.filter(F.flatten(F.transform(hits, proposed)), stands), match)
 
 
 def scan(docs: DataFrame, passed: tuple[str, ...] = ("doc_id",), templates: tuple[Template, ...] = TEMPLATES) -> DataFrame:
@@ -127,9 +152,8 @@ def scan(docs: DataFrame, passed: tuple[str, ...] = ("doc_id",), templates: tupl
     words = docs.select(*passed, words_of(F.col("text")).alias("w"))
     vocabulary = sorted({t.words[j] for t in templates for j in t.mandatory})
     frequency = document_frequency(words, vocabulary)
-    rare = [min(t.mandatory, key=lambda j, t=t: (frequency.get(t.words[j], 0), j)) for t in templates]
-    anchors = sorted({t.words[r] for t, r in zip(templates, rare)})
-    looked_up = F.array(*[F.lit(a) for a in anchors])
+    anchors, postings, notices = _index(templates, frequency)
+    looked_up = _constant(anchors)
     empty = F.array().cast("array<struct<w:string,at:int>>")
     hits = F.when(
         F.arrays_overlap("w", looked_up),
@@ -138,10 +162,9 @@ def scan(docs: DataFrame, passed: tuple[str, ...] = ("doc_id",), templates: tupl
         ),
     ).otherwise(empty)
     cut = words.withColumn("__hits", hits)
-    w, h = F.col("w"), F.col("__hits")
-    matches = [_matches(w, h, r, t) for t, r in zip(templates, rare)]
+    matches = _places(F.col("w"), F.col("__hits"), postings, notices)
     none = F.array().cast("array<struct<label:string,start:bigint,standing:int,words:int,base:boolean>>")
-    found = cut.withColumn("places", F.when(F.size("__hits") > 0, F.concat(*matches)).otherwise(none))
+    found = cut.withColumn("places", F.when(F.size("__hits") > 0, matches).otherwise(none))
     base = F.filter("places", lambda p: p["base"])
     joined = lambda a: F.array_join(F.array_sort(F.array_distinct(F.transform(a, lambda p: p["label"]))), ",")
     starts = F.transform(base, lambda p: p["start"])

@@ -9,8 +9,9 @@ ends with an end symbol (byte 0xFF, which UTF-8 never has) and starts in a conte
 
 The baseline is the smoothed unigram log10 probability of the lower-cased words and the end.
 
-Neither model is ever held whole. Documents are dealt to parts of about ``PART_BYTES`` of text by a
-hash of their id. A part's distinct words and distinct (ORDER + 1)-byte sequences go out with their
+Neither model is ever held whole. Documents are dealt to parts of about ``PART_BYTES`` of text by
+their row, whatever their ids and texts repeat; the deal is written once, so that every later
+reading agrees on it. A part's distinct words and distinct (ORDER + 1)-byte sequences go out with their
 training counts (everything shorter follows from these), the counts are summed and the trie's
 figures derived by aggregations and joins, and each part gets back the values of just its own words and
 sequences, with which its documents are scored. All of it grows with the text, and no task
@@ -133,25 +134,32 @@ def _gram_values(grams: DataFrame) -> DataFrame:
     return out.select("key", value.alias("value"))
 
 
+def _dealt(src: DataFrame) -> DataFrame:
+    """``src`` (text, ...) with its part, written: rows of one id or text go to different parts."""
+    size = src.agg(F.sum(F.octet_length("text").cast("bigint") + 64)).first()[0] or 0
+    parts = max(1, math.ceil(size / PART_BYTES))
+    part = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts)).cast("int")
+    return written(src.withColumn("part", part), "ppm-parts")
+
+
 def _lookup(keys: np.ndarray, known: np.ndarray, values: np.ndarray) -> np.ndarray:
     return values[np.searchsorted(known, keys)]
 
 
 def score(docs: DataFrame, train: Column, passed: tuple[str, ...] = ()) -> DataFrame:
     """(passed columns, n_tokens, n_known, train_tokens, base_score, score) for every row of
-    ``docs`` (doc_id, text); ``train`` marks the rows to learn from.
+    ``docs`` (text); ``train`` marks the rows to learn from.
 
     Null text counts as empty: one token, the end. Without training rows the word baseline has
     N = V = 0 and every byte has probability 1/256. Repeated rows stay repeated. Other
-    columns are not read. Scores are log10 probabilities.
+    columns are not read; a passed column named like a result is an error. Scores are log10
+    probabilities.
     """
     src = docs.select(
         *passed, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-        F.coalesce(train, F.lit(False)).alias("train"), F.col("doc_id").alias("__id"),
+        F.coalesce(train, F.lit(False)).alias("train"),
     )
-    size = src.agg(F.sum(F.octet_length("text").cast("bigint") + 64)).first()[0] or 0
-    parts = max(1, math.ceil(size / PART_BYTES))
-    dealt = src.withColumn("part", F.pmod(F.xxhash64("__id"), F.lit(parts)).cast("int")).drop("__id")
+    dealt = _dealt(src)
 
     keys = written(
         dealt.select("part", "text", "train").groupBy("part").applyInArrow(_distinct, "part int, kind int, key bigint, n bigint"),

@@ -181,6 +181,34 @@ def test_licenses(odd_docs, no_docs, spark):
     assert licenses.scan(odd_docs).count() == odd_docs.count() and licenses.scan(no_docs).count() == 0
 
 
+def test_licenses_of_many_long_templates(spark):
+    """Two hundred whole notices, against every template tried at every word of every text."""
+    rng = np.random.default_rng(5)
+    notices = [[f"n{x}" for x in rng.integers(0, 300, 80)] for _ in range(200)]
+    templates = tuple(
+        licenses.Template(f"t{k}", tuple(ws), ((5, 12), (50 + k % 9, 60)), base=k % 7 == 0) for k, ws in enumerate(notices)
+    )
+    texts = []
+    for i in range(60):
+        ws = list(notices[(i * 37) % 200])
+        if i % 3 == 1:
+            ws[20] = "changed"
+        if i % 3 == 2:
+            ws[8] = "broken"
+        texts.append(["before"] * (i % 5) + ws + notices[i] * (i % 2))
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    got = {r.doc_id: sorted((p.label, p.start, p.standing) for p in r.places) for r in licenses.scan(df, templates=templates).collect()}
+    for i, ws in enumerate(texts):
+        want = []
+        for t, must in zip(templates, [t.mandatory for t in templates]):
+            for s in range(len(ws)):
+                if all(s + j < len(ws) and ws[s + j] == t.words[j] for j in must):
+                    standing = sum(s + j < len(ws) and ws[s + j] == x for j, x in enumerate(t.words))
+                    want.append((t.label, s, standing))
+        assert got[i] == sorted(want)
+    assert sum(map(len, got.values())) >= 60
+
+
 def test_packing_round_trip(odd_docs, no_docs):
     from tokenizers import Tokenizer
 
@@ -307,10 +335,24 @@ def test_ppm(odd_docs, no_docs):
     got = [(r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in found]
     assert sorted(got, key=str) == sorted(want, key=str)
     assert ppm.score(no_docs, ~held, passed=("doc_id",)).count() == 0
+    with pytest.raises(ValueError):
+        ppm.score(short.withColumn("score", F.lit(1.0)), ~held, passed=("score",))
     unlearnt = ppm.score(short.filter("doc_id = 8"), F.lit(False)).first()
     assert unlearnt.train_tokens == 0 and abs(unlearnt.score + 8 * math.log10(256)) < 1e-9
 
 
+def test_ppm_deals_one_id_and_one_text_to_many_parts(spark, monkeypatch):
+    monkeypatch.setattr(ppm, "PART_BYTES", 4 << 10)
+    rows = [(7, "the same words again and again " * 3, "x")] * 400 + [(i, f"word{i} of its own", "x") for i in range(100, 200)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, part string")
+    sizes = [r["count"] for r in ppm._dealt(df.select("doc_id", "text")).filter("doc_id = 7").groupBy("part").count().collect()]
+    assert len(sizes) > 8 and max(sizes) < 80
+    found = ppm.score(df, F.lit(True), passed=("doc_id",))
+    assert found.count() == 500
+    one = found.filter("doc_id = 7").agg(F.min("score"), F.max("score"), F.max("n_tokens")).first()
+    assert one[1] - one[0] < 1e-6 and one[2] == 19
+
+
 def _odd_vectors(spark):
     rng = np.random.default_rng(3)
     rows = []
