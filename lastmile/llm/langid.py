@@ -2,15 +2,17 @@
 
 Learning counts byte 4-grams of the letters of every labelled text by language, in one
 pass with task-side merging. A language contains an n-gram if its relative frequency there
-is at least ``SHARE`` of the n-gram's largest one. Each contained n-gram sets its
-languages' bits at ``HASHES`` slots of a Bloom filter of ``SLOTS`` language masks, so one
+is at least ``SHARE`` of the n-gram's largest one, and at least ``FLOOR``: a language then holds
+1 / ``FLOOR`` n-grams at most, so chance n-grams do not fill the filter as the corpus grows. Each contained n-gram sets its
+languages' bits at ``HASHES`` slots of a Bloom filter of language masks, so one
 look-up per hash answers for all languages at once: the AND of the masks names every
 language that contains the n-gram (and, rarely, one that does not).
 
 A text's hits per language are the popcounts of its n-grams' masks. Language ``l`` gets a
 false hit with probability f = fill_l^HASHES, so its corrected share is
 (hits / n-grams - f) / (1 - f); the largest share decides, ties go to the smaller name.
-The filter has a fixed size whatever the corpus, so it is broadcast.
+The filter has ``SLOTS`` masks of 64 languages a word, fewer where more languages would take it over
+``FILTER_BYTES``, so it is broadcast whatever the corpus.
 """
 
 from __future__ import annotations
@@ -29,9 +31,11 @@ from lastmile.llm.textops import LETTERS, Grams, Tally, chunks, mix, text_once,
 
 GRAM = 4
 SHARE = 0.2
+FLOOR = 2e-6
 SLOTS = 1 << 22
+FILTER_BYTES = 64 << 20
 HASHES = 3
-MAX_LANGUAGES = 63
+MAX_LANGUAGES = 4096
 UNDETERMINED = "und"
 
 _ANY_LETTER = regex.compile(r"\p{L}")
@@ -54,17 +58,25 @@ def _grams(docs: list[bytes]) -> tuple[Grams, np.ndarray]:
     return g, use
 
 
-def slots(codes: np.ndarray) -> np.ndarray:
+def filter_shape(languages: int) -> tuple[int, int]:
+    """Words of a mask, and number of slots (a power of two)."""
+    words, size = max(1, -(-languages // 64)), SLOTS
+    while words * size * 8 > FILTER_BYTES:
+        size //= 2
+    return words, size
+
+
+def slots(codes: np.ndarray, size: int) -> np.ndarray:
     """(HASHES, n) slot numbers of the n-grams."""
     h = mix(codes)
     step = (h >> np.uint64(32)) | np.uint64(1)
-    return np.stack([((h + np.uint64(i) * step) & np.uint64(SLOTS - 1)).astype(np.int64) for i in range(HASHES)])
+    return np.stack([((h + np.uint64(i) * step) & np.uint64(size - 1)).astype(np.int64) for i in range(HASHES)])
 
 
 @dataclass
 class LanguageFilter:
     languages: list[str]
-    masks: np.ndarray       # uint64 per slot
+    masks: np.ndarray       # (words, slots)
     false_hit: np.ndarray   # per language
     default: str            # the language with most learned text, for texts without a hit
 
@@ -81,12 +93,15 @@ class LanguageFilter:
             g, use = _grams(docs)
             total = g.sums(use)
             counted[first : first + len(docs)] = total
-            found = np.zeros(len(g.codes), dtype=kind)
-            hit = np.full(int(use.sum()), np.iinfo(kind).max, dtype=kind)
-            for s in slots(g.codes[use]):
-                hit &= self.masks[s]
-            found[use] = hit
-            hits = np.stack([g.sums((found >> kind.type(l)) & kind.type(1)) for l in range(len(self.languages))], 1)
+            at = slots(g.codes[use], self.masks.shape[1])
+            found, hits = np.zeros(len(g.codes), dtype=kind), []
+            for w, masks in enumerate(self.masks):
+                hit = np.full(at.shape[1], np.iinfo(kind).max, dtype=kind)
+                for s in at:
+                    hit &= masks[s]
+                found[use] = hit
+                hits += [g.sums((found >> kind.type(l)) & kind.type(1)) for l in range(min(64, len(self.languages) - 64 * w))]
+            hits = np.stack(hits, 1)
             share = hits / np.maximum(total, 1)[:, None]
             share = np.clip((share - self.false_hit) / np.maximum(1 - self.false_hit, 1e-9), 0, 1)
             best = share.argmax(axis=1)
@@ -99,7 +114,7 @@ class LanguageFilter:
 
 def _count(batches: Iterator[pa.RecordBatch], languages: list[str]) -> Iterator[pa.RecordBatch]:
     number = {l: i for i, l in enumerate(languages)}
-    tally, width = Tally(), np.uint64(64)
+    tally, width = Tally(), np.uint64(MAX_LANGUAGES)
     for batch in batches:
         lang = np.array([number[l] for l in batch.column(1).to_pylist()], dtype=np.uint64)
         for first, docs in chunks(utf8(batch.column(0))):
@@ -115,45 +130,61 @@ def _count(batches: Iterator[pa.RecordBatch], languages: list[str]) -> Iterator[
         )
 
 
-def _set_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _set_bits(batches: Iterator[pa.RecordBatch], words: int, size: int) -> Iterator[pa.RecordBatch]:
+    """(slot, word, mask) from (code, languages that contain it), merged within a batch."""
     for batch in batches:
-        codes = batch.column(0).to_numpy().astype(np.uint64)
-        at = slots(codes).ravel()
-        mask = np.tile(batch.column(1).to_numpy(), HASHES)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(mask)], names=["slot", "mask"])
+        held = batch.column(1)
+        lang = held.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        if not len(lang):
+            continue
+        codes = np.repeat(batch.column(0).to_numpy().astype(np.uint64), held.value_lengths().to_numpy())
+        at = (slots(codes, size) * words + lang // 64).ravel()
+        bit = np.tile(np.uint64(1) << (lang % 64).astype(np.uint64), HASHES)
+        order = np.argsort(at)
+        at, first = np.unique(at[order], return_index=True)
+        mask = np.bitwise_or.reduceat(bit[order], first).view(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(at // words), pa.array((at % words).astype(np.int32)), pa.array(mask)], names=["slot", "word", "mask"]
+        )
 
 
 def learn(docs: DataFrame, chosen: Column) -> LanguageFilter:
-    """Learn from the rows of ``docs`` (text, lang) with ``chosen`` true, non-null lang and text."""
+    """Learn from the rows of ``docs`` (text, lang) with ``chosen`` true, non-null lang and text.
+
+    Of more than ``MAX_LANGUAGES`` values of lang, those with most rows are learnt (ties: the smaller).
+    """
     train = docs.filter(chosen & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")
-    texts_of = {r[0]: r[1] for r in train.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
-    if len(texts_of) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    kinds = train.groupBy("lang").count()
+    top = kinds.orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES + 1).collect()
+    texts_of = {r[0]: r[1] for r in top[:MAX_LANGUAGES]}
+    if len(top) > MAX_LANGUAGES:
+        train = train.filter(F.col("lang").isin(list(texts_of)))
     languages = sorted(texts_of)
+    words, size = filter_shape(len(languages))
     if not languages:
-        return LanguageFilter([], np.zeros(SLOTS, dtype=np.uint8), np.zeros(0), UNDETERMINED)
+        return LanguageFilter([], np.zeros((words, size), dtype=np.uint8), np.zeros(0), UNDETERMINED)
     counts = written(
         train.mapInArrow(lambda it: _count(it, languages), "code bigint, lang int, n bigint")
-        .groupBy("code")
-        .agg(*[F.sum(F.when(F.col("lang") == i, F.col("n")).otherwise(0)).alias(f"n{i}") for i in range(len(languages))]),
+        .groupBy("code", "lang").agg(F.sum("n").alias("n")),
         "langid-counts",
     )
-    totals = counts.agg(*[F.sum(f"n{i}").alias(f"n{i}") for i in range(len(languages))]).first()
-    rates = [F.col(f"n{i}") / F.lit(float(max(totals[i] or 0, 1))) for i in range(len(languages))]
-    top = F.greatest(*rates) if len(rates) > 1 else rates[0]
-    mask = F.lit(0).cast("bigint")
-    for i, r in enumerate(rates):
-        mask = mask.bitwiseOR(F.when((r > 0) & (r >= SHARE * top), F.lit(1 << i)).otherwise(0).cast("bigint"))
+    total = {r[0]: r[1] for r in counts.groupBy("lang").agg(F.sum("n")).collect()}  # a row per language
+    totals = F.split(F.lit(",".join(str(total.get(i, 1)) for i in range(len(languages)))), ",").cast("array<double>")
+    rated = counts.select("code", "lang", (F.col("n") / F.get(totals, F.col("lang"))).alias("rate"))
+    by_code = rated.filter(F.col("rate") >= FLOOR).groupBy("code").agg(
+        F.collect_list(F.struct("lang", "rate")).alias("of"), F.max("rate").alias("top")  # an entry per language
+    )
+    held = F.filter("of", lambda o: o["rate"] >= SHARE * F.col("top"))
     bits = (
-        counts.select("code", mask.alias("mask"))
-        .mapInArrow(_set_bits, "slot bigint, mask bigint")
-        .groupBy("slot")
+        by_code.select("code", F.transform(held, lambda o: o["lang"]).alias("langs"))
+        .mapInArrow(lambda it: _set_bits(it, words, size), "slot bigint, word int, mask bigint")
+        .groupBy("slot", "word")
         .agg(F.bit_or("mask").alias("mask"))
     )
-    rows = bits.toArrow()  # at most SLOTS rows
-    masks = np.zeros(SLOTS, dtype=np.uint64)
-    masks[rows.column("slot").to_numpy()] = rows.column("mask").to_numpy().astype(np.uint64)
-    fill = np.array([((masks >> np.uint64(i)) & np.uint64(1)).mean() for i in range(len(languages))])
+    rows = bits.toArrow()  # at most FILTER_BYTES of masks
+    masks = np.zeros((words, size), dtype=np.uint64)
+    masks[rows.column("word").to_numpy(), rows.column("slot").to_numpy()] = rows.column("mask").to_numpy().view(np.uint64)
+    fill = np.array([((masks[i // 64] >> np.uint64(i % 64)) & np.uint64(1)).mean() for i in range(len(languages))])
     default = max(languages, key=lambda l: (texts_of[l], l))
     if len(languages) <= 8:
         masks = masks.astype(np.uint8)

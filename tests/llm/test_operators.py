@@ -170,6 +170,46 @@ def test_additive_model_learns_an_interaction():
     assert ((p >= 0.5) == y[3000:]).mean() > 0.95
 
 
+def test_language_filter_of_many_languages(spark):
+    """70 languages (two words a mask), against sets of n-grams per language."""
+    rng = np.random.default_rng(11)
+    stock = [["".join(rng.choice(list("abcdefghij"), 5)) for _ in range(40)] for _ in range(70)]
+    rows = [(i, " ".join(rng.choice(stock[i % 70], 30)), f"l{i % 70:02d}") for i in range(70 * 6)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    train = [r for r in rows if r[0] < 70 * 4]
+    counts: dict = {}
+    for _, t, l in train:
+        g, use = langid._grams([t.encode()])
+        for c in g.codes[use].tolist():
+            of = counts.setdefault(c, {})
+            of[l] = of.get(l, 0) + 1
+    total: dict = {}
+    for of in counts.values():
+        for l, n in of.items():
+            total[l] = total.get(l, 0) + n
+    holds = {}
+    for c, of in counts.items():
+        rate = {l: n / total[l] for l, n in of.items()}
+        top = max(rate.values())
+        holds[c] = {l for l, r in rate.items() if r >= langid.FLOOR and r >= langid.SHARE * top}
+    found = {r.doc_id: r for r in langid.identify(df, F.col("doc_id") < 70 * 4, passed=("doc_id",)).collect()}
+    for i, t, l in rows:
+        g, use = langid._grams([t.encode()])
+        codes = g.codes[use].tolist()
+        share = {m: sum(m in holds.get(c, ()) for c in codes) / len(codes) for m in total}
+        assert abs(found[i].score - max(share.values())) < 1e-3
+        assert share[found[i].lang_pred] > max(share.values()) - 1e-3
+    assert all(found[i].lang_pred == l for i, _, l in rows)
+
+
+def test_language_limit(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 2)
+    rows = [(i, "some words here", "aa") for i in range(3)] + [(i, "autres mots encore", "bb") for i in range(3, 5)]
+    df = spark.createDataFrame(rows + [(9, "weitere dinge", "cc")], "doc_id bigint, text string, lang string")
+    assert langid.learn(df, F.lit(True)).languages == ["aa", "bb"]
+    assert [langid.filter_shape(n) for n in (1, 64, 65, 129)] == [(1, 1 << 22), (1, 1 << 22), (2, 1 << 22), (3, 1 << 21)]
+
+
 def test_licenses(odd_docs, no_docs, spark):
     texts = ["Released under the MIT License. mit license", "GNU General Public License, version 3", "mit-licensed", None]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
