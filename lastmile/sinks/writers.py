@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from lastmile.session import ensure_checkpoint_dir
 
+_OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+
 
 def write_parquet(
     df: DataFrame,
@@ -23,6 +25,7 @@ def write_parquet(
     partition_by: Sequence[str] | None = None,
     balance_tasks: int | None = None,
     touched_only: bool = False,
+    open_files: int | None = None,
 ) -> str:
     """Parquet write, optionally into ``partition_by`` directories.
 
@@ -34,6 +37,9 @@ def write_parquet(
     holds about 1/n of the rows and only a few partition values: a value holding a third
     of the data is split over a third of the tasks, and the file count stays near
     n + number of values instead of tasks x values.
+
+    ``open_files=n`` is for few partitions: a task keeps up to n files open and writes its rows as they
+    come, instead of sorting all of them by partition first (with more partitions it sorts the rest).
     """
     if partition_by and balance_tasks:
         row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
@@ -45,7 +51,15 @@ def write_parquet(
             writer = writer.option("partitionOverwriteMode", "dynamic")
     elif touched_only:
         raise ValueError("only a partitioned table can be replaced in part")
-    writer.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(_OPEN_FILES, None)
+    if open_files:
+        conf.set(_OPEN_FILES, str(open_files))
+    try:
+        writer.parquet(path)
+    finally:
+        if open_files:
+            conf.set(_OPEN_FILES, before) if before is not None else conf.unset(_OPEN_FILES)
     return path
 
 

@@ -78,6 +78,7 @@ def load_feed(
         {"lines": F.count(F.lit(1)), "loaded": F.count_if(~F.col(QUARANTINED)), "quarantined": F.count_if(QUARANTINED)},
         partition_by=[QUARANTINED, BATCH],
         touched_only=True,
+        open_files=2,  # one batch, loaded and quarantined
     )
     if counts["loaded"] + counts["quarantined"] != counts["lines"]:
         raise RuntimeError(f"{name}: lines were lost in the load: {counts}")

@@ -97,3 +97,20 @@ def test_write_and_read_stay_one_job_each(spark, tmp_dir):
 def test_unknown_feed_is_an_error(spark, tmp_dir):
     with pytest.raises(KeyError):
         feeds.load_all(spark, tmp_dir, tmp_dir, TS, ["nothing"])
+
+
+@pytest.mark.parametrize("name", ["order_items"])
+def test_a_load_does_not_sort_its_rows(spark, tmp_dir, name):
+    t = model_for(spark, SF_SMALL).t
+    rows = B.feed(t, name)
+    feeds.write_raw(rows, f"{tmp_dir}/raw", name, damaged=F.col("order_id") % 10 == 0)
+    counts = feeds.load_feed(spark, f"{tmp_dir}/raw", tmp_dir, name, TS)
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    plan = spark._jsparkSession.sharedState().statusStore().executionsList().last().physicalPlanDescription()
+    assert "WriteFiles" in plan and "Scan csv" in plan and "Sort" not in plan
+    assert counts["quarantined"] == rows.filter("order_id % 10 = 0").count() > 0
+    assert feeds.quarantined(spark, tmp_dir, name).count() == counts["quarantined"]
+    assert same_rows(
+        feeds.loaded(spark, tmp_dir, name).select("order_id"), rows.filter("order_id % 10 != 0").select("order_id")
+    )
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
