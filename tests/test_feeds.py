@@ -99,7 +99,7 @@ def test_unknown_feed_is_an_error(spark, tmp_dir):
         feeds.load_all(spark, tmp_dir, tmp_dir, TS, ["nothing"])
 
 
-@pytest.mark.parametrize("name", ["order_items"])
+@pytest.mark.parametrize("name", ["order_items", "refunds"])
 def test_a_load_does_not_sort_its_rows(spark, tmp_dir, name):
     t = model_for(spark, SF_SMALL).t
     rows = B.feed(t, name)
