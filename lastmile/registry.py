@@ -254,10 +254,12 @@ def query_names() -> list[str]:
 
 
 # Settings the plans rely on in whatever session they are built: no broadcast from size
-# estimates (only behind a measured bound), and hot join keys split even before an aggregation.
+# estimates (only behind a measured bound), hot join keys split even before an aggregation, and shuffle
+# partitions merged to 16 MB, so that a task's sorts and aggregations hold a few hundred MB.
 _SESSION_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16MB",
 }
 
 

@@ -47,3 +47,19 @@ def test_sums_to(spark):
     df = spark.createDataFrame([(33.3,), (66.65,)], "p double")
     r = Q.sums_to(df, "p", 100.0, 0.1, "s").first()
     assert r.passed and abs(r.total - 99.95) < 1e-9
+
+
+def test_rows_that_hardly_repeat_are_grouped_in_small_partitions(spark):
+    # About 60 MB of shuffle: one task's share if partitions were merged up to Spark's default of 64 MB.
+    rows = spark.range(0, 2_500_000, 1, 4).selectExpr("xxhash64(id) as a", "xxhash64(id, 1) as b")
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        grouped = Q.duplicate_keys(rows, ["a", "b"])
+        assert 3 <= grouped.rdd.getNumPartitions() <= 16
+        assert Q.count_duplicate_rows(rows.unionAll(rows.limit(5)), "r").first().r == 5
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
