@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import base64
 import bisect
+import functools
 import os
 import zlib
 from collections.abc import Iterator
@@ -51,6 +52,7 @@ PARTITION_TOKENS = 8 << 20  # several shards a task
 SAMPLED = 200  # documents sampled a partition to find where the order is cut
 CHUNK = 1 << 20  # characters encoded at a time
 ENCODED_ROWS = 1024  # documents of a batch whose texts and ids are held at a time
+KEPT = 0.8  # used documents leave the index when no more than this share of it is unused
 K1 = 1.2
 B = 0.75
 
@@ -210,6 +212,12 @@ class Encoder:
         return start
 
 
+@functools.lru_cache(maxsize=1)
+def _encoder(path: str) -> Encoder:
+    """The encoder of a worker: read once, and its words are remembered from task to task."""
+    return Encoder(path)
+
+
 def idf(df: np.ndarray, n: int) -> np.ndarray:
     """Weight of tokens that ``df`` of ``n`` documents hold: 0 in more than half of them, or in one."""
     weight = np.log((n - df + 0.5) / (df + 0.5))
@@ -243,8 +251,8 @@ class Index:
             mean = lengths.mean() if n else 1.0
         tf = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[doc] / max(mean, 1e-9)))
         order = np.argsort(inverse, kind="stable")
-        self.posting, self.tf = doc[order], tf[order]
         self.starts = np.searchsorted(inverse[order], np.arange(len(names) + 1))
+        self.posting, self.value = doc[order].astype(np.intp), self.weight[inverse[order]] * tf[order]
         self.term = inverse.astype(np.int64)  # documents are in order already
         self.term_starts = np.searchsorted(doc, np.arange(n + 1))
         self.n = n
@@ -254,10 +262,15 @@ class Index:
         words = self.term[self.term_starts[seed] : self.term_starts[seed + 1]]
         if not len(words):
             return np.zeros(self.n)
-        a, b = self.starts[words], self.starts[words + 1]
-        size = b - a
-        at = np.arange(int(size.sum())) + np.repeat(a - (np.cumsum(size) - size), size)
-        return np.bincount(self.posting[at], np.repeat(self.weight[words], size) * self.tf[at], self.n)
+        spans = list(zip(self.starts[words].tolist(), self.starts[words + 1].tolist()))
+        posting = np.concatenate([self.posting[a:b] for a, b in spans])
+        return np.bincount(posting, np.concatenate([self.value[a:b] for a, b in spans]), self.n)
+
+    def keep(self, docs: np.ndarray) -> None:
+        """Leaves only the postings of the documents marked in ``docs``; the scores of others become 0."""
+        kept = docs[self.posting]
+        self.starts = np.concatenate(([0], np.cumsum(kept)))[self.starts]
+        self.posting, self.value = self.posting[kept], self.value[kept]
 
 
 def pack(lengths: np.ndarray, terms: list[np.ndarray], index: Index | None = None) -> list[list[tuple[int, int, int]]]:
@@ -265,6 +278,7 @@ def pack(lengths: np.ndarray, terms: list[np.ndarray], index: Index | None = Non
     if index is None:
         index = Index(terms, np.array([max(len(t), 1) for t in terms], dtype=np.float64))
     unused = np.ones(len(lengths), dtype=bool)
+    indexed = len(lengths)
     first, rest = 0, None  # rest: (document, tokens already placed)
     sequences: list[list[tuple[int, int, int]]] = []
     while True:
@@ -283,6 +297,10 @@ def pack(lengths: np.ndarray, terms: list[np.ndarray], index: Index | None = Non
         room -= take
         rest = (seed, start + take) if start + take < lengths[seed] else None
         if room:
+            left = np.count_nonzero(unused)
+            if left <= KEPT * indexed:
+                index.keep(unused)
+                indexed = left
             score = np.where(unused, index.scores(seed), 0)
             near = np.flatnonzero(score > 0)
             near = near[np.lexsort((near, -score[near]))]
@@ -343,6 +361,7 @@ def _statistics(encoded: DataFrame, kind: np.dtype) -> tuple[np.ndarray, float,
     """Weight by token, mean length and tokens of all documents (one number a token of the vocabulary)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _encoder.cache_clear()  # all is encoded: its memory goes
         n, df, total = 0, np.zeros(1, dtype=np.int64), 0
         for batch in batches:
             for ids in _documents(batch.column(0), kind):
@@ -386,7 +405,7 @@ def packed(docs: DataFrame, path: str | None = None, with_ids: bool = False) ->
     kind = np.dtype(Encoder(place).kind).newbyteorder("<")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(place)
+        encoder = _encoder(place)
         for whole in batches:
             for at in range(0, whole.num_rows, ENCODED_ROWS):
                 batch = whole.slice(at, ENCODED_ROWS)

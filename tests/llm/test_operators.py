@@ -328,6 +328,28 @@ def test_packing_counts_term_frequency():
     assert index.scores(0)[2] > index.scores(0)[1] > 0
 
 
+def test_packing_index_without_used_documents(monkeypatch):
+    """Used documents leave the index; scores of the others, and so the windows, stay the same."""
+    rng = np.random.default_rng(5)
+    terms = [np.unique(rng.integers(0, 60, 12)) for _ in range(200)]
+    index = packing.Index(terms, np.full(200, 12.0))
+    before, some = [index.scores(i) for i in range(200)], rng.random(200) < 0.4
+    index.keep(some)
+    assert len(index.posting) < 0.6 * sum(map(len, terms))
+    assert all((index.scores(i) == np.where(some, before[i], 0)).all() for i in range(200))
+    lengths, windows = rng.integers(1, 900, 200), []
+    for share in (0.0, 0.8, 1.0):
+        monkeypatch.setattr(packing, "KEPT", share)
+        windows.append(packing.pack(lengths, terms))
+    assert windows[0] == windows[1] == windows[2]
+
+
+def test_packing_reads_the_tokenizer_once_a_worker():
+    path = packing.tokenizer_path()
+    assert packing._encoder(path) is packing._encoder(path)
+    packing._encoder.cache_clear()
+
+
 def _ppm_brute(texts, train, order=ppm.ORDER):
     trie = {}
     for t, use in zip(texts, train):
