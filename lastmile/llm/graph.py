@@ -15,6 +15,11 @@ from pyspark.sql import functions as F
 from lastmile.llm.store import written
 
 
+def _lowest(rows: DataFrame) -> DataFrame:
+    """(node, component, low): a node's label, which one of its rows holds, and the least one told."""
+    return rows.groupBy("node").agg(F.max("component").alias("component"), F.min("low").alias("low"))
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable, for every node that has an edge.
 
@@ -34,17 +39,15 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         ),
         "labels",
     )
+    unknown = F.lit(None).cast(labels.schema["component"].dataType).alias("component")
     while True:
-        seen = labels.select(F.col("node").alias("v"), F.col("component").alias("label"))
-        hooked = both.join(seen, "v").groupBy(F.col("u").alias("node")).agg(F.min("label").alias("near"))
-        step = labels.join(hooked, "node").select(
-            "node", "component", F.least("component", "near").alias("low")
-        )
+        # Unions instead of joins: a node's own row and what it is told meet in one aggregation, so a
+        # round is two joins and a short plan (the driver holds the plans of all rounds).
+        seen = labels.select(F.col("node").alias("v"), F.col("component").alias("low"))
+        told = both.join(seen, "v").select(F.col("u").alias("node"), unknown, "low")
+        step = _lowest(labels.select("node", "component", F.col("component").alias("low")).unionByName(told))
         # What a node has learnt also holds for the node that its old label names.
-        hint = step.groupBy(F.col("component").alias("node")).agg(F.min("low").alias("hint"))
-        best = step.join(hint, "node", "left").select(
-            "node", "component", F.least("low", F.coalesce("hint", "low")).alias("low")
-        )
+        best = _lowest(step.unionByName(step.select(F.col("component").alias("node"), unknown, "low")))
         jump = best.select(F.col("node").alias("low"), F.col("low").alias("root"))
         new = written(
             best.join(jump, "low", "left").select(

@@ -402,7 +402,13 @@ def packed(docs: DataFrame, path: str | None = None, with_ids: bool = False) ->
     """
     place = path or tokenizer_path()
     spark = docs.sparkSession
-    kind = np.dtype(Encoder(place).kind).newbyteorder("<")
+
+    def width(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"bytes": [np.dtype(_encoder(place).kind).itemsize] * batch.num_rows})
+
+    # A worker tells it: the driver, which may hold many plans, reads no tokenizer.
+    kind = np.dtype(f"<u{spark.range(1, numPartitions=1).mapInArrow(width, 'bytes bigint').first()[0]}")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(place)

@@ -350,6 +350,27 @@ def test_packing_reads_the_tokenizer_once_a_worker():
     packing._encoder.cache_clear()
 
 
+def test_packing_reads_no_tokenizer_on_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(packing, "Encoder", None)  # workers import their own
+    pieces = packing.packed(spark.createDataFrame([(1, "some words"), (2, None)], "doc_id bigint, text string")).collect()
+    assert {p.doc_id: p.doc_tokens for p in pieces} == {1: 3, 2: 1}
+
+
+def test_component_rounds_have_short_plans(spark):
+    import re
+
+    from lastmile.llm.graph import connected_components
+
+    runs = spark._jsparkSession.sharedState().statusStore()
+    before = runs.executionsList().size()
+    edges = [(i, i + 1) for i in range(20)] + [(30, 31), (31, 31), (None, 5), (50, 20)]
+    found = connected_components(spark.createDataFrame(edges, "a bigint, b bigint"))
+    assert {r.node: r.component for r in found.collect()} == {**{i: 0 for i in (*range(21), 50)}, 30: 30, 31: 30}
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    plans = [runs.executionsList().apply(i).physicalPlanDescription() for i in range(before, runs.executionsList().size())]
+    assert 1 <= max(len(re.findall(r"^\(\d+\) \w+Join", p, re.M)) for p in plans) <= 10
+
+
 def _ppm_brute(texts, train, order=ppm.ORDER):
     trie = {}
     for t, use in zip(texts, train):
