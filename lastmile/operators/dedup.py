@@ -25,10 +25,13 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
 def keep_latest(df: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
     """Keep the row with the greatest ``by`` per key (NULL ``by`` loses).
 
-    Ties go to the smaller 64-bit hash of the remaining columns, so the result never depends on
-    input order. The hash is taken where the row is read: only it, ``by`` and the columns a
-    query needs are shuffled, not every column as a sort key.
+    Ties go to the smaller 64-bit hash of the remaining columns, then of which of them are NULL (a
+    hash leaves NULLs out), so the result never depends on input order. The hashes are taken where
+    the row is read: only they, ``by`` and the columns a query needs are shuffled, not every column
+    as a sort key.
     """
     rest = [c for c in df.columns if c not in set(keys) and c != by]
-    order = [F.col(by).desc_nulls_last()] + ([F.xxhash64(*rest).asc()] if rest else [])
+    order = [F.col(by).desc_nulls_last()]
+    if rest:
+        order += [F.xxhash64(*rest).asc(), F.xxhash64(*[F.col(c).isNull() for c in rest]).asc()]
     return keep_first(df, keys, order)

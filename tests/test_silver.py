@@ -201,6 +201,14 @@ def test_keep_latest_matches_brute_force(spark, rows):
         assert r in rows and (r[1] is not None, r[1] or 0) == latest[r[0]]
 
 
+def test_keep_latest_tells_tied_rows_apart_by_their_nulls(spark):
+    from lastmile.operators.dedup import keep_latest
+
+    rows = [(1, None, None, 1), (1, None, 1, None)]
+    kept = [keep_latest(spark.createDataFrame(r, "k long, ts long, a long, b long").coalesce(1), ["k"], "ts").collect() for r in (rows, rows[::-1])]
+    assert kept[0] == kept[1] and tuple(kept[0][0]) in rows
+
+
 TYPES_PLUS = TYPES + ["CANCELLED", "ARRIVED"]
 
 
