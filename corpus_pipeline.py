@@ -1,8 +1,9 @@
 """A corpus from raw documents to packed sequences, in five stages.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which ``run`` writes below the
-shared folder and reads back as the next stage's documents. All stages but the last return the
-columns of ``documents``, with whatever further columns came in, whatever their names.
+shared folder and reads back as the next stage's documents; what else a stage wrote is then
+deleted. All stages but the last return the columns of ``documents``, with whatever further
+columns came in, whatever their names.
 
 1. language_id: documents go whose language cannot be told: without any letter, or with less than
    ``MIN_LANGUAGE_SCORE`` of their letter sequences known in the language found. Documents whose
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lastmile.llm import langid, minmax_dedup, mixing, packing, toxicity
-from lastmile.llm.store import written
+from lastmile.llm.store import scratch, written
 from lastmile.llm.textops import crc_remainder
 
 MIN_LANGUAGE_SCORE = 0.3
@@ -90,5 +91,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch():
+            docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}", keep=True)
     return docs

@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lastmile.llm.store import written
+from lastmile.llm.store import scratch, written
 from lastmile.llm.textops import LETTERS, Grams, Tally, chunks, mix, text_once, utf8, with_fields
 
 GRAM = 4
@@ -203,7 +203,8 @@ def identify(docs: DataFrame, chosen: Column, passed: tuple[str, ...] = ()) -> D
     score 0. Nothing to learn from: ``und``, score 0. Repeated rows stay repeated; columns
     other than text, lang and ``passed`` are not read.
     """
-    model = docs.sparkSession.sparkContext.broadcast(learn(docs, chosen).parts())
+    with scratch():  # the counts go once the filter is here
+        model = docs.sparkSession.sparkContext.broadcast(learn(docs, chosen).parts())
     names = [*passed, "lang_pred", "score", "n_grams"]
     src, text_at = text_once(docs, passed)
 

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lastmile.llm.graph import connected_components
-from lastmile.llm.store import written
+from lastmile.llm.store import scratch, written
 from lastmile.llm.textops import Words, chunks, mix, utf8, word_windows
 
 PERMUTATIONS = 64
@@ -290,7 +290,9 @@ def one_of_each(docs: DataFrame, **params) -> DataFrame:
     # Rows are known by a written number: ids can be null or repeated.
     rows = written(plain.withColumn("row", F.monotonically_increasing_id()), "minmax-rows")
     doc_id, text = (F.col(f"c{names.index(n)}").alias(n) for n in ("doc_id", "text"))
-    found = written(_grouped(rows.select("row", doc_id, text), **params).drop("component_id"), "minmax-found")
+    # Features, buckets, sets and links are larger than the rows: they go once the components are written.
+    with scratch():
+        found = written(_grouped(rows.select("row", doc_id, text), **params).drop("component_id"), "minmax-found", keep=True)
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark", "row")
     first = found.filter("component is not null").groupBy("component").agg(F.min(order).alias("first"))
     keep = first.select("first.row").unionByName(found.filter("component is null").select("row"))

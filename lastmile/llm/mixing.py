@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lastmile.llm.store import written
+from lastmile.llm.store import scratch, written
 
 SAMPLE_ROWS = 20_000
 LEXICON = 100
@@ -218,7 +218,8 @@ def rates(
     tokens gives a warning. Rows of the same doc_id and text get the same rate and copies. Columns named
     rate or copies, or beginning with two underscores, are replaced.
     """
-    model = learn(docs, labels, domain)
+    with scratch():  # sample and word counts go once the model is here
+        model = learn(docs, labels, domain)
     if model is None:
         none = F.array().cast("array<double>")
         out = docs.withColumn("__t", F.lit(0.0)).withColumn("__p", none).withColumn("rate", F.lit(1.0))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lastmile.llm.store import written
+from lastmile.llm.store import scratch, written
 from lastmile.llm.textops import LETTERS, Words, chunks, mix, text_once, utf8, with_fields
 
 DISCOUNT = 3.0
@@ -235,7 +235,8 @@ def score(docs: DataFrame, labels: DataFrame, train: Column, calibrate: Column,
     texts = docs.select(
         "doc_id", F.col("text").cast("string").alias("text"), train.alias("__train"), calibrate.alias("__calibrate")
     )
-    model = spark.sparkContext.broadcast(_models(_chosen(texts, marks, "__train", TRAIN_ROWS)))
+    with scratch():  # the counts go once the model is here
+        model = spark.sparkContext.broadcast(_models(_chosen(texts, marks, "__train", TRAIN_ROWS)))
     width = 1 + 2 * len(STRONG)
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,8 +248,9 @@ def score(docs: DataFrame, labels: DataFrame, train: Column, calibrate: Column,
             )
 
     shape = ", ".join([*[f"x{j} double" for j in range(width)], "toxic int"])
-    found = _chosen(texts, marks, "__calibrate", CURVE_ROWS).mapInArrow(terms, shape)
-    points = np.array([tuple(r) for r in found.collect()], dtype=np.float64).reshape(-1, width + 1)
+    with scratch():
+        found = _chosen(texts, marks, "__calibrate", CURVE_ROWS).mapInArrow(terms, shape)
+        points = np.array([tuple(r) for r in found.collect()], dtype=np.float64).reshape(-1, width + 1)
     points = points[np.lexsort(points.T)]
     curve = _curve(points[:, :width], points[:, width])
     names = [*passed, "score"]
