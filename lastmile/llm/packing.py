@@ -28,6 +28,7 @@ from __future__ import annotations
 import base64
 import bisect
 import functools
+import hashlib
 import os
 import zlib
 from collections.abc import Iterator
@@ -39,10 +40,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lastmile.llm.store import written
-from lastmile.llm.textops import _BASE, _power, mix
+from lastmile.llm.textops import _BASE, mix
 
 _CHECK = 0xD6E8FEB86659FD93
-_CODE_VALUE, _CODE_CHECK = np.random.default_rng(20240608).integers(1, 2**63, (2, 0x0590), dtype=np.uint64) | np.uint64(1)
+_MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)  # the first n of eight bytes
 
 WINDOW = 2048
 END = 1
@@ -51,8 +52,11 @@ SHARD_TOKENS = 1 << 20
 PARTITION_TOKENS = 8 << 20  # several shards a task
 SAMPLED = 200  # documents sampled a partition to find where the order is cut
 CHUNK = 1 << 20  # characters encoded at a time
+LONG = 64  # words of more bytes are told apart by a digest
 ENCODED_ROWS = 1024  # documents of a batch whose texts and ids are held at a time
 KEPT = 0.8  # used documents leave the index when no more than this share of it is unused
+SPARSE = 32  # the index is a table of words by documents if one cell in so many is filled
+CELLS = 1 << 23  # and the table has no more cells than that
 K1 = 1.2
 B = 0.75
 
@@ -64,50 +68,86 @@ def tokenizer_path() -> str:
 
 
 class Pieces:
-    """Token ids of the words that a tokenizer encodes one by one, remembered by two 64-bit hashes.
+    """Token ids of the words that a tokenizer encodes one by one, remembered by two 64-bit keys.
 
     A direct-mapped table of ``SLOTS`` entries: what is not there is encoded and put in its place.
+    ``encode`` gives the ids of a list of words, one after another, and how many each has.
     """
 
-    SLOTS = 1 << 20
+    SLOTS = 1 << 21
     IDS = 1 << 25  # the table starts anew beyond so many remembered ids
 
-    def __init__(self, encode):
+    def __init__(self, encode, kind: np.dtype):
         self.encode = encode
+        self.kind = np.dtype(kind)
         self.reset()
 
     def reset(self) -> None:
         self.keys = np.zeros((2, self.SLOTS), dtype=np.uint64)
-        self.at, self.size = np.zeros(self.SLOTS, dtype=np.int64), np.zeros(self.SLOTS, dtype=np.int64)
-        self.ids, self.used = np.zeros(1 << 16, dtype=np.uint32), 0
-
-    def look_up(self, h: np.ndarray, check: np.ndarray, piece) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the pieces in order, and how many each has; ``piece(i)`` is the text of one."""
+        self.entry = np.zeros(self.SLOTS, dtype=np.int32)
+        # Where the ids of each entry end, in bytes; the first one is the end of a document.
+        self.ends, self.entries = np.zeros(1 << 16, dtype=np.int32), 1
+        self.ids, self.used = np.full(1 << 16, END, dtype=self.kind), 1
+        self.ends[1] = self.kind.itemsize
+
+    def look_up(self, h: np.ndarray, check: np.ndarray, pieces) -> np.ndarray:
+        """The entry of each piece; ``pieces(i)`` lists the texts of some. Good until the next call."""
         if self.used > self.IDS:
             self.reset()
-        slot = (h & np.uint64(self.SLOTS - 1)).astype(np.int64)
-        at, size = self.at[slot], self.size[slot]
+        slot = (mix(h + check * np.uint64(_BASE)) & np.uint64(self.SLOTS - 1)).astype(np.intp)
+        entry = self.entry[slot]
         missing = np.flatnonzero((self.keys[0, slot] != h) | (self.keys[1, slot] != check))
         if len(missing):
-            # One entry for equal pieces; pieces that only share a slot all get their ids here.
+            # One entry for equal pieces; pieces that only share a slot all get theirs here.
             order = missing[np.lexsort((check[missing], h[missing]))]
             new = np.ones(len(order), dtype=bool)
             new[1:] = (h[order[1:]] != h[order[:-1]]) | (check[order[1:]] != check[order[:-1]])
             first = order[new]
-            found = [self.encode(piece(i)) for i in first.tolist()]
-            sizes = np.array([len(f) for f in found], dtype=np.int64)
-            starts = self.used + np.cumsum(sizes) - sizes
-            self.used += int(sizes.sum())
-            if self.used > len(self.ids):
-                self.ids = np.concatenate((self.ids, np.zeros(self.used, dtype=np.uint32)))
-            self.ids[int(starts[0]) : self.used] = [i for f in found for i in f]
+            ids, sizes = self.encode(pieces(first))
+            numbers = self.entries + np.arange(len(first), dtype=np.int32)
+            self.ids = _longer(self.ids, self.used + len(ids))
+            self.ids[self.used : self.used + len(ids)] = ids
+            self.ends = _longer(self.ends, self.entries + len(first) + 1)
+            self.ends[numbers + 1] = (self.used + np.cumsum(sizes)) * self.kind.itemsize
+            self.used, self.entries = self.used + len(ids), self.entries + len(first)
             self.keys[0, slot[first]], self.keys[1, slot[first]] = h[first], check[first]
-            self.at[slot[first]], self.size[slot[first]] = starts, sizes
-            group = np.cumsum(new) - 1
-            at[order], size[order] = starts[group], sizes[group]
-        ends = np.cumsum(size)
-        flat = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(at - (ends - size), size)
-        return self.ids[flat], size
+            self.entry[slot[first]] = numbers
+            entry[order] = numbers[np.cumsum(new) - 1]
+        return entry
+
+    def take(self, entry: np.ndarray) -> tuple[pa.Buffer, np.ndarray]:
+        """The bytes of the ids of all these entries, and where those of each begin, and the end."""
+        held = pa.Array.from_buffers(pa.binary(), self.entries, [None, pa.py_buffer(self.ends), pa.py_buffer(self.ids)])
+        _, offsets, data = held.take(pa.array(entry)).buffers()
+        return data, np.frombuffer(offsets, dtype=np.int32, count=len(entry) + 1)
+
+
+def _longer(a: np.ndarray, size: int) -> np.ndarray:
+    return a if size <= len(a) else np.concatenate((a, np.zeros(size, dtype=a.dtype)))
+
+
+def _keys(raw: bytes, width: int, at: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit keys of each piece of ``raw``, from byte ``at`` to ``ends``; ``width`` is that of a character.
+
+    Eight bytes at a time; up to 16 bytes they tell pieces of one length apart for certain.
+    """
+    eight = np.ndarray(len(raw) + 1, dtype="<u8", buffer=raw + bytes(8), strides=(1,)).copy()
+    size = ends - at
+    h = eight[at] & _MASK[np.minimum(size, 8)]
+    check = (size * 2 + (width - 1)).astype(np.uint64)
+    more = np.flatnonzero(size > 8)
+    for done in range(8, LONG, 8):
+        if not len(more):
+            return h, check
+        left = size[more] - done
+        word = eight[at[more] + done] & _MASK[np.minimum(left, 8)]
+        h[more] = mix(h[more] * np.uint64(_BASE) + word)
+        check[more] = mix(check[more] * np.uint64(_CHECK) + word)
+        more = more[left > 8]
+    for i in more.tolist():
+        digest = hashlib.blake2b(raw[at[i] : ends[i]], digest_size=16, salt=bytes([width])).digest()
+        h[i], check[i] = np.frombuffer(digest, dtype="<u8")
+    return h, check
 
 
 # The fast path covers characters up to here (Latin, Greek, Cyrillic, Armenian); texts with others,
@@ -148,14 +188,21 @@ class Encoder:
 
             with open(ranks, "rb") as f:
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-            words = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
-            self.pieces = Pieces(words.encode_ordinary)
+            self.words = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
+            self.line_end = self.words.encode_ordinary("\n")[0]
+            self.pieces = Pieces(self._encode_words, self.kind)
             self.kinds = _character_kinds()
 
-    def _plain(self, text: str) -> bool:
-        if self.pieces is None or "'" in text or any(s in text for s in self.special):
-            return False
-        return text.isascii() or np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).max() < _PLAIN
+    def _plain(self, text: str) -> tuple[int, bytes] | None:
+        """Bytes a character, and the text in them, if it can be cut into words."""
+        if not text or self.pieces is None or "'" in text or any(s in text for s in self.special):
+            return None
+        try:
+            return 1, text.encode("latin-1")
+        except UnicodeEncodeError:
+            if np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).max() < _PLAIN:
+                return 2, text.encode("utf-16-le")
+        return None
 
     def encode(self, text: str) -> np.ndarray:
         """The ids with the end id."""
@@ -163,38 +210,74 @@ class Encoder:
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, with the end id."""
-        out: list[np.ndarray] = [None] * len(texts)
-        held, size = [], 0
+        return _documents(self.encode_column(texts), np.dtype(self.kind))
+
+    def encode_column(self, texts: list[str]) -> pa.Array:
+        """The ids of each text, with the end id, as bytes."""
+        rows: list[int] = []
+        parts: list[pa.Array] = []
+        held: dict[int, list[tuple[int, bytes]]] = {1: [], 2: []}
+        size = {1: 0, 2: 0}
+
+        def flush(width: int) -> None:
+            rows.extend(i for i, _ in held[width])
+            parts.append(self._encode_plain([raw for _, raw in held[width]], width))
+            held[width], size[width] = [], 0
+
+        others: list[int] = []
         for i, text in enumerate(texts):
-            if not text or not self._plain(text):
-                out[i] = np.array([*(self.whole(text) if text else ()), END], dtype=np.uint32)
+            plain = self._plain(text)
+            if plain is None:
+                others.append(i)
                 continue
-            held.append(i)
-            size += len(text)
-            if size > CHUNK:
-                self._encode_plain(texts, held, out)
-                held, size = [], 0
-        if held:
-            self._encode_plain(texts, held, out)
-        return out
-
-    def _encode_plain(self, texts: list[str], held: list[int], out: list[np.ndarray]) -> None:
-        joined = "".join(texts[i] for i in held)
-        codes = np.frombuffer(joined.encode("utf-16-le"), dtype=np.uint16)
-        lengths = np.array([len(texts[i]) for i in held])
-        begins = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-        start = self._starts(codes, begins)
-        at = np.flatnonzero(start)
-        ends = np.append(at[1:], len(codes))
-        hashes = []
-        for values, base in ((_CODE_VALUE, _BASE), (_CODE_CHECK, _CHECK)):
-            run = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values[codes] * _power(base, len(codes)), dtype=np.uint64)))
-            back = _power(pow(base, -1, 2**64), len(codes))
-            hashes.append(mix((run[ends] - run[at]) * back[at]))
-        ids, size = self.pieces.look_up(*hashes, lambda i: joined[at[i] : ends[i]])
-        last = np.cumsum(size)[np.append(np.searchsorted(at, begins[1:]), len(at)) - 1]
-        for i, part in zip(held, np.split(ids, last[:-1])):
-            out[i] = np.append(part, np.uint32(END))
+            width, raw = plain
+            held[width].append((i, raw))
+            size[width] += len(raw)
+            if size[width] > CHUNK * width:
+                flush(width)
+        for width in held:
+            if held[width]:
+                flush(width)
+        ids = [[*(self.whole(texts[i]) if texts[i] else ()), END] for i in others]
+        rows.extend(others)
+        parts.append(pa.array([np.array(x, dtype=self.kind).tobytes() for x in ids], type=pa.binary()))
+        return pa.concat_arrays(parts).take(pa.array(np.argsort(np.array(rows, dtype=np.int64))))
+
+    def _encode_plain(self, texts: list[bytes], width: int) -> pa.Array:
+        raw = b"".join(texts)
+        begins = np.cumsum([0, *map(len, texts[:-1])]) // width
+        start = self._starts(np.frombuffer(raw, dtype=f"<u{width}"), begins)
+        at = np.flatnonzero(start) * width
+        ends = np.append(at[1:], len(raw))
+        coding = "latin-1" if width == 1 else "utf-16-le"
+
+        def pieces(some: np.ndarray) -> list[str]:
+            return [raw[a:b].decode(coding) for a, b in zip(at[some].tolist(), ends[some].tolist())]
+
+        entry = self.pieces.look_up(*_keys(raw, width, at, ends), pieces)
+        # After the pieces of each text comes entry 0, its end.
+        bounds = np.append(np.searchsorted(at, begins[1:] * width), len(at))
+        data, offsets = self.pieces.take(np.insert(entry, bounds, 0))
+        ends = offsets[np.concatenate(([0], bounds + np.arange(1, len(texts) + 1)))]
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(ends), data])
+
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, and how many each has. Words go together, parted by line ends,
+        which the tokenizer's pattern leaves alone between them; white space goes word by word."""
+        blank = np.array([w.isspace() for w in words], dtype=bool)
+        together = [w for w, b in zip(words, blank) if not b]
+        ids = self.words.encode_to_numpy("\n".join(together))
+        cut = np.flatnonzero(ids == self.line_end)
+        if len(cut) != len(together) - 1:
+            blank[:], ids, cut = True, ids[:0], cut[:0]
+        sizes = np.zeros(len(words), dtype=np.int64)
+        if not blank.all():
+            sizes[~blank] = np.diff(np.concatenate(([-1], cut, [len(ids)]))) - 1
+        alone = [self.words.encode_ordinary(words[i]) for i in np.flatnonzero(blank)]
+        own = np.array([len(x) for x in alone], dtype=np.int64)
+        at = np.repeat(np.cumsum(sizes)[blank], own)  # ids of words before it
+        sizes[blank] = own
+        return np.insert(np.delete(ids, cut), at, [i for x in alone for i in x]), sizes
 
     def _starts(self, codes: np.ndarray, begins: np.ndarray) -> np.ndarray:
         """Where words begin, by the pattern: runs of letters, numbers or other signs with one
@@ -255,13 +338,28 @@ class Index:
         self.posting, self.value = doc[order].astype(np.intp), self.weight[inverse[order]] * tf[order]
         self.term = inverse.astype(np.int64)  # documents are in order already
         self.term_starts = np.searchsorted(doc, np.arange(n + 1))
-        self.n = n
+        self.n, self.docs = n, np.arange(n)
+        self._tabulate()
+
+    def _tabulate(self) -> None:
+        """The postings as a table, words by documents, if it is filled well enough: its rows are
+        added faster than postings, and in the same order."""
+        words, self.table = len(self.starts) - 1, None
+        if 0 < words * len(self.docs) <= min(SPARSE * len(self.posting), CELLS):
+            column = np.zeros(self.n, dtype=np.intp)
+            column[self.docs] = np.arange(len(self.docs))
+            self.table = np.zeros((words, len(self.docs)))
+            self.table[np.repeat(np.arange(words), np.diff(self.starts)), column[self.posting]] = self.value
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 scores of all documents for the seed's words."""
         words = self.term[self.term_starts[seed] : self.term_starts[seed + 1]]
         if not len(words):
             return np.zeros(self.n)
+        if self.table is not None:
+            out = np.zeros(self.n)
+            out[self.docs] = np.add.reduce(self.table[words], axis=0)
+            return out
         spans = list(zip(self.starts[words].tolist(), self.starts[words + 1].tolist()))
         posting = np.concatenate([self.posting[a:b] for a, b in spans])
         return np.bincount(posting, np.concatenate([self.value[a:b] for a, b in spans]), self.n)
@@ -271,6 +369,8 @@ class Index:
         kept = docs[self.posting]
         self.starts = np.concatenate(([0], np.cumsum(kept)))[self.starts]
         self.posting, self.value = self.posting[kept], self.value[kept]
+        self.docs = np.flatnonzero(docs)
+        self._tabulate()
 
 
 def pack(lengths: np.ndarray, terms: list[np.ndarray], index: Index | None = None) -> list[list[tuple[int, int, int]]]:
@@ -365,8 +465,9 @@ def _statistics(encoded: DataFrame, kind: np.dtype) -> tuple[np.ndarray, float,
         n, df, total = 0, np.zeros(1, dtype=np.int64), 0
         for batch in batches:
             for ids in _documents(batch.column(0), kind):
-                words = np.unique(ids[:-1])
+                words = np.sort(ids[:-1])
                 if len(words):
+                    words = words[np.append(words[1:] != words[:-1], True)]
                     if words[-1] >= len(df):
                         df = np.concatenate((df, np.zeros(2 * int(words[-1]) + 1 - len(df), dtype=np.int64)))
                     df[words] += 1
@@ -387,9 +488,14 @@ def _statistics(encoded: DataFrame, kind: np.dtype) -> tuple[np.ndarray, float,
 def leads(words: np.ndarray, counts: np.ndarray, weight: np.ndarray, df: np.ndarray) -> list[int]:
     """The tokens that say most about a document, each after its document frequency's rank: how
     many hold the first one, then the tokens; -1 where there are no more."""
-    value = weight[words] * counts
-    best = words[np.lexsort((words, -value))][: min(LEADS, int((value > 0).sum()))]
-    return [int(df[best[0]]) if len(best) else -1, *map(int, best), *[-1] * (LEADS - len(best))]
+    value, best = weight[words] * counts, []
+    for _ in range(min(LEADS, len(words))):
+        i = int(value.argmax())  # the smallest token of equal ones: ``words`` ascend
+        if value[i] <= 0:
+            break
+        best.append(int(words[i]))
+        value[i] = 0
+    return [int(df[best[0]]) if best else -1, *best, *[-1] * (LEADS - len(best))]
 
 
 def packed(docs: DataFrame, path: str | None = None, with_ids: bool = False) -> DataFrame:
@@ -415,8 +521,7 @@ def packed(docs: DataFrame, path: str | None = None, with_ids: bool = False) ->
         for whole in batches:
             for at in range(0, whole.num_rows, ENCODED_ROWS):
                 batch = whole.slice(at, ENCODED_ROWS)
-                ids = encoder.encode_all([text or "" for text in batch.column(2).to_pylist()])
-                held = pa.array([i.astype(kind).tobytes() for i in ids], type=pa.binary())
+                held = encoder.encode_column([text or "" for text in batch.column(2).to_pylist()])
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), held], names=["row", "doc_id", "ids"])
 
     src = docs.select(

@@ -290,6 +290,30 @@ def test_encoder_gives_the_tokenizers_ids():
         assert [g.tolist() for g in got] == [[*tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in texts]
 
 
+def test_encoder_tells_words_of_equal_bytes_apart():
+    """Words of one and two bytes a character, of up to 8, 16, 64 and more bytes, with one beginning."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
+    ends = [" " + "a" * n + x for n in (6, 7, 8, 14, 15, 16, 31, 62, 63, 64, 200) for x in ("", "b", "c", "é", "Ж", "ж")]
+    texts = ["\x01\x00", "\x01 Ж", "\x00", "\x00\x00 Ж", "\x00\x00\x00", "\x01 ÿ", *ends, "".join(ends), "".join(ends[::-1])]
+    encoder = packing.Encoder(packing.tokenizer_path())
+    for _ in range(2):
+        got = encoder.encode_all(texts)
+        assert [g.tolist() for g in got] == [[*tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+
+
+def test_encoder_encodes_new_words_in_one_call():
+    encoder = packing.Encoder(packing.tokenizer_path())
+    calls, encode = [], encoder.pieces.encode
+    encoder.pieces.encode = lambda words: calls.append(words) or encode(words)
+    texts = [f"word{i} and\n\tmore {i * 7919}  " for i in range(500)]
+    encoder.encode_all(texts)
+    assert len(calls) == 1 and isinstance(calls[0], list) and len(calls[0]) > 500
+    encoder.encode_all(texts)
+    assert sum(map(len, calls[1:])) < 10  # a few words share a slot
+
+
 def test_packing_of_many_equal_texts(spark, monkeypatch):
     """Copies of one text are dealt over several parts; every row is packed once."""
     monkeypatch.setattr(packing, "PARTITION_TOKENS", 4096)
@@ -344,6 +368,26 @@ def test_packing_index_without_used_documents(monkeypatch):
     assert windows[0] == windows[1] == windows[2]
 
 
+def test_packing_index_as_table_gives_the_same_scores(monkeypatch):
+    """To the last bit, also after used documents left, and for documents without useful words."""
+    rng = np.random.default_rng(6)
+    terms = [np.unique(rng.integers(0, 60, n)) for n in rng.integers(0, 20, 150)]
+    counts = [rng.integers(1, 9, len(t)) for t in terms]
+    some = rng.random(150) < 0.6
+    scores = []
+    for sparse in (packing.SPARSE, 0):
+        monkeypatch.setattr(packing, "SPARSE", sparse)
+        index = packing.Index(terms, np.full(150, 9.0), counts)
+        assert (index.table is not None) == (sparse > 0)
+        whole = [index.scores(i) for i in range(150)]
+        index.keep(some)
+        scores.append([*whole, *[index.scores(i) for i in range(150)]])
+        index.keep(np.zeros(150, dtype=bool))
+        assert not any(index.scores(i).any() for i in range(150))
+    assert all((a == b).all() for a, b in zip(*scores))
+    assert packing.Index([np.zeros(0, dtype=np.int64)] * 3, np.ones(3)).scores(1).tolist() == [0, 0, 0]
+
+
 def test_packing_reads_the_tokenizer_once_a_worker():
     path = packing.tokenizer_path()
     assert packing._encoder(path) is packing._encoder(path)
