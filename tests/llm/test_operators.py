@@ -517,6 +517,56 @@ def test_subspace_dedup(spark):
     assert subspace_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def _near_copies(n, seed=8):
+    rng = np.random.default_rng(seed)
+    v = rng.normal(size=24)
+    return [[float(np.float32(x)) for x in v + 0.02 * rng.normal(size=24)] for _ in range(n)]
+
+
+def test_subspace_links_are_counted_not_listed(spark, monkeypatch):
+    tables = {}
+    keep = subspace_dedup.written
+
+    def noted(df, name, **how):
+        tables[name] = out = keep(df, name, **how)
+        return out
+
+    monkeypatch.setattr(subspace_dedup, "written", noted)
+    df = spark.createDataFrame([(i, v, 1) for i, v in enumerate(_near_copies(150))], "vec_id bigint, embedding array<float>, label int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    try:
+        out = subspace_dedup.near_duplicates(df)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = [tuple(r) for r in out.collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(got) == [(i, 149, 0, i == 0) for i in range(150)]
+    assert tables["subspace-links"].count() <= 150  # 11,175 pairs
+    assert "BroadcastHashJoin" not in plan  # none by the size of a file
+
+
+@pytest.mark.parametrize("rows, values", [(7, 1 << 21), (1 << 15, 160), (1, 1)])
+def test_subspace_tiles_give_the_same_links(spark, monkeypatch, rows, values):
+    df = _odd_vectors(spark)[1].union(
+        spark.createDataFrame([(9000 + i, v, i % 2) for i, v in enumerate(_near_copies(40))], "vec_id bigint, embedding array<float>, label int")
+    ).filter("vec_id is null or vec_id % 7 < 3 or vec_id >= 5000")
+    want = sorted(map(str, subspace_dedup.near_duplicates(df).collect()))
+    monkeypatch.setattr(subspace_dedup, "TILE_ROWS", rows)
+    monkeypatch.setattr(subspace_dedup, "TILE_VALUES", values)
+    assert sorted(map(str, subspace_dedup.near_duplicates(df).collect())) == want
+
+
+def test_subspace_repeated_id_counts_all_rows_of_a_partner(spark):
+    a, b, c = _near_copies(3)
+    far = [-x for x in a]
+    df = spark.createDataFrame(
+        [(1, a, 1), (2, b, 1), (2, far, 1), (3, c, 1), (3, c, 1)], "vec_id bigint, embedding array<float>, label int"
+    )
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in subspace_dedup.near_duplicates(df).collect())
+    assert got == [(1, 4, 1), (2, 3, 1), (2, 3, 1), (3, 4, 1), (3, 4, 1)]
+
+
 def test_qalsh_recall_and_ties(spark):
     rows, df = _odd_vectors(spark)
     found = qalsh.nearest(df, F.col("vec_id") % 20 == 0, k=10).collect()
