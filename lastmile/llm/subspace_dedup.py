@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +41,6 @@ _STRIP = 256, 1024
 _HELD = 1 << 16
 
 
-@lru_cache(maxsize=8)
 def rotation(dims: int) -> np.ndarray:
     """A fixed random rotation."""
     q, r = np.linalg.qr(np.random.default_rng(dims).normal(size=(dims, dims)))

@@ -1,10 +1,14 @@
 """Each operator against a brute-force version, and on odd and empty input."""
 
 import math
+import os
+import subprocess
+import sys
 import zlib
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from lastmile.llm import langid, licenses, minmax_dedup, mixing, packing, ppm, qalsh, quality, subspace_dedup, textops, toxicity
@@ -567,6 +571,13 @@ def test_subspace_repeated_id_counts_all_rows_of_a_partner(spark):
     assert got == [(1, 4, 1), (2, 3, 1), (2, 3, 1), (3, 4, 1), (3, 4, 1)]
 
 
+def test_subspace_functions_travel_by_value(tmp_path):
+    place = tmp_path / "functions"
+    place.write_bytes(cloudpickle.dumps((subspace_dedup._classes, subspace_dedup._links)))
+    load = f"import pickle, pyspark; pickle.load(open({str(place)!r}, 'rb'))"
+    subprocess.run([sys.executable, "-c", load], cwd=tmp_path, env=os.environ | {"PYTHONPATH": ""}, check=True)
+
+
 def test_qalsh_recall_and_ties(spark):
     rows, df = _odd_vectors(spark)
     found = qalsh.nearest(df, F.col("vec_id") % 20 == 0, k=10).collect()
